@@ -16,6 +16,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def fixed(col: Column) -> Column:
+    """Six decimals, half up; the nudge keeps ties from falling either way with the order of summation."""
+    return F.round(col + F.lit(1e-9), 6)
+
+
 def _of(kind: str) -> Column:
     return F.when(F.col("event_type") == kind, F.col("value"))
 
@@ -23,7 +28,7 @@ def _of(kind: str) -> Column:
 def hourly(spark: SparkSession, sf_dir: str, keys=("event_type",)) -> DataFrame:
     """Hourly total, mean and count per series."""
     slots = events(spark, sf_dir).groupBy(*keys, hour_key("ts").alias("datetime"))
-    return slots.agg(F.sum("value").alias("total"), F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return slots.agg(fixed(F.sum("value")).alias("total"), fixed(F.avg("value")).alias("mean"), F.count(F.lit(1)).alias("n"))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +36,10 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = ("view", "click", "signup", "error")
     rows = events(spark, sf_dir).where(F.col("event_type").isin(*kinds))
     return rows.groupBy(hour_key("ts").alias("datetime")).agg(
-        F.avg(_of("view")).alias("temperature"),
-        F.avg(_of("click")).alias("humidity"),
-        F.avg(_of("error")).alias("precipitation"),
-        F.avg(_of("signup")).alias("wind_speed"),
+        fixed(F.avg(_of("view"))).alias("temperature"),
+        fixed(F.avg(_of("click"))).alias("humidity"),
+        fixed(F.avg(_of("error"))).alias("precipitation"),
+        fixed(F.avg(_of("signup"))).alias("wind_speed"),
         F.count(_of("view")).cast("double").alias("cloud_cover"),
     )
 
@@ -42,7 +47,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load-like total of each hour."""
     rows = events(spark, sf_dir).where(F.col("event_type") == "purchase")
-    return rows.groupBy(hour_key("ts").alias("datetime")).agg(F.sum("value").alias("total_load"))
+    return rows.groupBy(hour_key("ts").alias("datetime")).agg(fixed(F.sum("value")).alias("total_load"))
 
 
 def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidegrid.schemas import CORRUPT, WEATHER_DOC, electricity_doc
 
 FILE_NAME = "file_name"
-GLOBS = {"hourly": "*_30.json", "daily": "data.json", "all": "*.json"}
+# Spark names its own files part-*; those hold day documents unless they lie below an hour directory.
+GLOBS = {"hourly": "*_30.json", "daily": "{data,part-*}.json", "all": "*.json"}
 PARTS = T.StructType([T.StructField(n, T.StringType()) for n in ("year", "month", "day")])
 
 
