@@ -43,7 +43,9 @@ def _day_documents(df, group, slot, record, envelope, file_name):
     slots = rows.where(F.col("__record").isNotNull()).groupBy(*group, "__slot").agg(
         F.min_by("__record", "__file").alias("__record")
     )
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("__slot"), F.col("__record"))))
+    # Compared by slot: a record may hold a map, which has no order.
+    pairs = F.collect_list(F.struct(F.col("__slot"), F.col("__record")))
+    ordered = F.array_sort(pairs, lambda a, b: F.when(a["__slot"] < b["__slot"], -1).otherwise(1))
     days = slots.groupBy(*group).agg(F.transform(ordered, lambda r: r["__record"]).alias("__records"))
     first = df.groupBy(*group).agg(F.min_by(F.struct(*envelope), F.col(file_name)).alias("__envelope"))
     return days.join(first, list(group)).select(*group, "__records", *[F.col("__envelope")[c].alias(c) for c in envelope])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegrid.operators import compaction, flatten, quality
 from tidegrid.plans import jobs, tables
 from tidegrid.plans.catalog import CANON, HOURLY, LOAD, WEATHER, i, n, query, r, t
-from tidegrid.schemas import WEATHER_DOC, electricity_doc
+from tidegrid.schemas import WEATHER_DOC
 from tidegrid.session import scratch_path
 from tidegrid.sources import bronze, layers, sinks
 
@@ -53,7 +53,9 @@ def grouped_columns(by: list[str]) -> list[str]:
 def signal_docs(hours: DataFrame, signal: str, record, field: str, by: list[str], zone="Z") -> DataFrame:
     dated = sinks.with_partition_cols(hours, "datetime").withColumn("hour", F.date_format("datetime", "HH"))
     docs = dated.groupBy(*grouped_columns(by)).agg(F.collect_list(F.struct("datetime", record.alias("r"))).alias("x"))
-    items = F.transform(F.array_sort("x"), lambda x: x["r"]).cast(electricity_doc(signal)[field].dataType)
+    # Records may hold maps, which have no order of their own.
+    ordered = F.array_sort("x", lambda a, b: F.when(a["datetime"] < b["datetime"], -1).otherwise(1))
+    items = F.transform(ordered, lambda x: x["r"])
     placed = docs.select(*grouped_columns(by), F.lit(zone).alias("zone"), items.alias(field))
     day = F.concat_ws("-", "year", "month", "day")
     return bronze.with_provenance(placed, F.lit(signal), day, F.col("zone"), F.col("hour") if "hour" in by else None)
@@ -267,7 +269,7 @@ def compact_month(spark, d):
     rows = tables.table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").alias("datetime"))
     now = rows.agg(F.max("datetime")).first()[0]
     daily, monthly = scratch_path(spark, "daily"), scratch_path(spark, "monthly")
-    sinks.write_layer(rows, daily)
+    sinks.write_layer(rows, daily, tasks=spark.sparkContext.defaultParallelism)
     compaction.compact_month(spark, daily, monthly, now, ["o_orderkey"])
     return layers.read_layer(spark, monthly).select("o_orderkey", "year", "month")
 

@@ -1 +1,243 @@
-"""Registered queries."""
+"""Registered queries: training, tuning, importance, bands, registry, forecasts.
+
+Tree models are not expressible in SQL, so most are checked for rows here and for properties in the tests. The registry
+queries have oracles: their metrics are per-user errors of a persistence forecast. Training uses all series together.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidegrid.models import forecast as fc
+from tidegrid.models import registry as reg
+from tidegrid.models import training, tuning
+from tidegrid.operators.features import FeatureConfig
+from tidegrid.operators.quality import drop_null_critical
+from tidegrid.operators.windows import impute_canonical
+from tidegrid.plans import jobs, tables
+from tidegrid.plans.catalog import HOURLY, i, n, query, r
+from tidegrid.plans.queries_series import forecast
+from tidegrid.session import cut_lineage, scratch_path
+from tidegrid.sources import layers
+
+KEY = ["event_type"]
+# Shorter looks back than the default leave more rows of a one-month table; the trees are shallow for the same reason.
+CONFIG = FeatureConfig(lags=(1, 2, 3, 24), windows=(3, 24))
+PARAMS = {"maxIter": 10, "maxDepth": 4}
+
+
+def series(spark: SparkSession, d: str) -> DataFrame:
+    return tables.hourly(spark, d).select(*KEY, "datetime", F.col("total").alias("electricity_demand"), "mean")
+
+
+def _rows(spark, d):
+    view, names = fc.training_rows(series(spark, d), CONFIG, keys=KEY)
+    return cut_lineage(view), names
+
+
+def _fitted(spark, d):
+    view, names = _rows(spark, d)
+    return view, training.fit_model(view, names, PARAMS)
+
+
+def _metrics_frame(spark, metrics: dict) -> DataFrame:
+    return spark.createDataFrame([(k, float(v)) for k, v in sorted(metrics.items())], "metric string, value double")
+
+
+@query("train_gbt")
+def train_gbt(spark, d):
+    view, fitted = _fitted(spark, d)
+    return training.evaluate(fitted, view, keys=KEY)
+
+
+@query("train_early_stopping")
+def train_early_stopping(spark, d):
+    view, names = _rows(spark, d)
+    fitted = training.fit_model(view, names, PARAMS, early_stopping=True)
+    trees = fitted.model.stages[-1].getNumTrees
+    return _metrics_frame(spark, {**fitted.metrics, "trees": trees})
+
+
+@query("feature_importance")
+def feature_importance(spark, d):
+    return training.feature_importance(spark, _fitted(spark, d)[1])
+
+
+@query("select_features")
+def select_features(spark, d):
+    return training.select_features(training.feature_importance(spark, _fitted(spark, d)[1]))
+
+
+@query("prediction_band")
+def prediction_band(spark, d):
+    view, fitted = _fitted(spark, d)
+    test, val = (fitted.transform(view.where(F.col("split") == s)) for s in ("test", "val"))
+    band = training.prediction_band(test, val, keys=KEY)
+    return band.select(*KEY, "datetime", "label", "prediction", "lower", "upper")
+
+
+@query("predict_with_metadata")
+def predict_with_metadata(spark, d):
+    view, fitted = _fitted(spark, d)
+    made = training.predict_with_metadata(
+        fitted,
+        view.where("split = 'test'"),
+        view.where("split = 'val'"),
+        "gbt",
+        "v1.0.0",
+        training.feature_importance(spark, fitted),
+        KEY,
+    )
+    return made.withColumn("feature_importance", F.size("feature_importance"))
+
+
+@query("cross_validate")
+def cross_validate(spark, d):
+    view, names = _rows(spark, d)
+    return tuning.cross_validate(view, names, {"maxIter": 5, "maxDepth": 3}, 5, KEY)[1]
+
+
+@query("grid_search")
+def grid_search(spark, d):
+    view, names = _rows(spark, d)
+    trials = tuning.grid_search(view, names, {"maxDepth": [2, 3], "maxIter": [3, 5]})
+    return trials.select("trial", F.col("params").cast("string").alias("params"), "score")
+
+
+@query("random_search")
+def random_search(spark, d):
+    view, names = _rows(spark, d)
+    trials = tuning.random_search(view, names, {"maxDepth": (2, 4), "stepSize": (0.05, 0.3), "maxIter": [3, 5]}, 3)
+    return trials.select("trial", F.col("params").cast("string").alias("params"), "score")
+
+
+@query("forecast_next")
+def forecast_next(spark, d):
+    view, fitted = _fitted(spark, d)
+    whole = series(spark, d)
+    end = whole.agg(F.max("datetime")).first()[0]
+    recent = layers.load_recent(whole, None, end, 192, KEY)
+    return fc.forecast_next(recent, fitted, CONFIG, KEY)
+
+
+@query("forecast_horizon")
+def forecast_horizon(spark, d):
+    whole = cut_lineage(series(spark, d))
+    models = fc.fit_by_step(whole, (1, 24), CONFIG, keys=KEY, params={"maxIter": 5, "maxDepth": 3})
+    end = whole.agg(F.max("datetime")).first()[0]
+    return fc.forecast_horizon(layers.load_recent(whole, None, end, 192, KEY), models, CONFIG, KEY)
+
+
+@query("model_registry")
+def model_registry(spark, d):
+    """Train, store, reload and predict with the stored model: the reload must score like the original."""
+    root = scratch_path(spark, "models")
+    done = jobs.full_training(spark, series(spark, d), root, KEY, CONFIG, PARAMS)
+    whole = series(spark, d)
+    end = whole.agg(F.max("datetime")).first()[0]
+    made = jobs.prediction(spark, whole, None, root, end, f"{root}/predictions", KEY, CONFIG)
+    fitted, row = reg.load_model(spark, root, "gbt", done["version"])
+    assert row["version"] == done["version"] and len(fitted.names) == row["training"]["features_count"]
+    stored = layers.read_predictions(spark, f"{root}/predictions/latest")
+    return stored.select("datetime", "predicted", "confidence_lower", "confidence_upper", "model_type").withColumn(
+        "series", F.lit(made.count())
+    )
+
+
+@query("train_canonical")
+def train_canonical(spark, d):
+    """The single national series: canonical, imputed, one model."""
+    gold = drop_null_critical(impute_canonical(tables.canonical(spark, d)))
+    view, names = fc.training_rows(cut_lineage(gold), CONFIG)
+    view = cut_lineage(view)
+    fitted = training.fit_model(view, names, PARAMS)
+    return training.evaluate(fitted, view)
+
+
+# Registry tables: one version per series, its metrics those of the persistence forecast
+
+_VERSIONS = f"""{HOURLY}, f AS (SELECT * FROM (SELECT event_type, datetime, total AS y, lag(total, 24) OVER (PARTITION BY event_type ORDER BY datetime) AS p FROM hourly) WHERE p IS NOT NULL),
+reg AS (SELECT event_type AS version, round(sqrt(avg((y - p) * (y - p))) + 1e-9, 6) AS rmse, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) + 1e-9, 6) AS r2,
+  count(*) AS rows_, max(datetime) AS done FROM f GROUP BY 1)"""
+
+
+def _versions(spark, d) -> DataFrame:
+    from tidegrid.functions import errors
+    from tidegrid.schemas import REGISTRY
+
+    rows = forecast(spark, d).groupBy(F.col("event_type").alias("version")).agg(
+        tables.fixed(errors.rmse("y", "p")).alias("rmse"),
+        tables.fixed(errors.r2("y", "p")).alias("r2"),
+        F.count(F.lit(1)).alias("rows_"),
+        F.date_format(F.max("datetime"), "yyyy-MM-dd HH:mm:ss").alias("done"),
+    )
+    values = {"completed_at": F.col("done"), "total_samples": F.col("rows_")}
+    record = REGISTRY["training"].dataType
+    made = F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in record.fields])
+    return rows.select(
+        F.lit("gbt").alias("model_type"),
+        "version",
+        made.alias("training"),
+        F.create_map(F.lit("rmse"), F.col("rmse"), F.lit("r2"), F.col("r2")).alias("metrics"),
+        F.create_map(F.lit("source"), F.lit("events")).alias("tags"),
+        F.lit("").alias("notes"),
+    )
+
+
+@query(
+    "compare_versions",
+    f"""WITH {_VERSIONS}, x AS (SELECT a.rmse AS v1, b.rmse AS v2, (a.rmse - b.rmse) / a.rmse * 100 AS g FROM reg a, reg b WHERE a.version = 'click' AND b.version = 'view')
+SELECT 'click' AS version1, 'view' AS version2, 'rmse' AS metric, {r('v1', 'version1_value')}, {r('v2', 'version2_value')}, (v2 < v1) AS is_version2_better,
+{r('g', 'improvement_percentage')}, CASE WHEN g > 0 THEN printf('view is %.2f%% better than click on rmse', abs(g))
+  WHEN g < 0 THEN printf('view is %.2f%% worse than click on rmse', abs(g)) ELSE 'view has same rmse as click' END AS summary FROM x""",
+)
+def compare_versions(spark, d):
+    return reg.compare_versions(_versions(spark, d), "click", "view", "rmse")
+
+
+@query("best_model", f"WITH {_VERSIONS} SELECT version, {r('r2', 'value')} FROM reg ORDER BY r2 DESC, version LIMIT 1")
+def best_model(spark, d):
+    return reg.best_model(_versions(spark, d), "r2").select("version", F.col("metrics")["r2"].alias("value"))
+
+
+@query("promote", f"WITH {_VERSIONS} SELECT version, {r('rmse', 'value')} FROM reg ORDER BY rmse, version LIMIT 1")
+def promote(spark, d):
+    return reg.promote(_versions(spark, d)).select("version", F.col("metrics")["rmse"].alias("value"))
+
+
+@query(
+    "latest_version",
+    f"WITH {_VERSIONS} SELECT version, {n('rows_', 'samples')} FROM reg ORDER BY done DESC, version DESC LIMIT 1",
+)
+def latest_version(spark, d):
+    return reg.latest_version(_versions(spark, d)).select("version", F.col("training.total_samples").alias("samples"))
+
+
+@query(
+    "retain_versions",
+    f"WITH {_VERSIONS} SELECT version, (row_number() OVER (ORDER BY done DESC, version DESC) <= 3) AS keep FROM reg",
+)
+def retain_versions(spark, d):
+    return reg.retain_versions(_versions(spark, d), 3).select("version", "keep")
+
+
+@query(
+    "registry_report",
+    f"WITH {_VERSIONS} SELECT version, {n('rows_', 'total_samples')}, {r('rmse')} FROM reg",
+)
+def registry_report(spark, d):
+    return reg.registry_report(_versions(spark, d)).select("version", "total_samples", F.col("metrics")["rmse"].alias("rmse"))
+
+
+@query(
+    "top_trials",
+    f"WITH {_VERSIONS}, x AS (SELECT row_number() OVER (ORDER BY version) AS trial, rmse AS score FROM reg) SELECT {i('trial')}, {r('score')} FROM x ORDER BY score, trial LIMIT 3",
+)
+def top_trials(spark, d):
+    from pyspark.sql import Window
+
+    from tidegrid.operators.ranking import top_trials as best
+
+    # One row per version: the registry is small by nature.
+    number = F.row_number().over(Window.partitionBy("model_type").orderBy("version")).alias("trial")
+    return best(_versions(spark, d).select(number, F.col("metrics")["rmse"].alias("score")), n=3)

@@ -1 +1,162 @@
-"""Registered queries."""
+"""Registered queries: the streaming operators, run over whole tables with availableNow and compared with batch SQL.
+
+Windows close when the watermark passes them, so the last ones of a finite input stay open; the oracles leave out
+exactly those.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidegrid.plans import tables
+from tidegrid.plans.catalog import HOURLY, LOAD, USER_HOURLY, WEATHER, i, n, query, r, t
+from tidegrid.plans.queries_lake import landed, load_docs, weather_docs
+from tidegrid.session import scratch_path
+from tidegrid.sources import layers
+from tidegrid.streaming import features as stateful
+from tidegrid.streaming import hourly as st
+
+KEY = ["event_type"]
+RETENTION = "40 days"
+
+
+def as_stream(spark: SparkSession, rows: DataFrame, ts: str = "datetime", days_per_file: int = 5) -> DataFrame:
+    """Rows stored in files of a few days each, read back as a stream, one file per micro-batch."""
+    root = scratch_path(spark, "arrivals")
+    block = F.floor(F.day(ts) / days_per_file).cast("int").alias("block")
+    # Landed one after the other, so that the stream sees them in order of time.
+    stored = rows.withColumn("block", block).repartition(1, "block")
+    stored.write.partitionBy("block").parquet(root)
+    schema = rows.schema
+    parts = sorted(r["block"] for r in stored.select("block").distinct().collect())
+    flat = scratch_path(spark, "stream")
+    for part in parts:
+        spark.read.schema(schema).parquet(f"{root}/block={part}").coalesce(1).write.mode("append").parquet(flat)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(flat)
+
+
+def finished(spark: SparkSession, df: DataFrame, schema=None) -> DataFrame:
+    out = scratch_path(spark, "sink")
+    st.write_stream(df, out, scratch_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(schema or df.schema).parquet(out)
+
+
+@query("stream_silver", f"WITH {LOAD} SELECT {t('datetime + INTERVAL 7 HOUR', 'datetime')}, {r('total_load::FLOAT::DOUBLE', 'total_load')} FROM load")
+def stream_silver(spark, d):
+    docs = load_docs(spark, d, "data")
+    root = landed(spark, docs, "electricity", "total_load")
+    out = scratch_path(spark, "silver")
+    st.stream_silver(
+        spark, root, out, scratch_path(spark, "checkpoint"), "electricity", "total_load", "all", delay=RETENTION
+    ).awaitTermination()
+    return layers.read_layer(spark, out).select("datetime", "total_load")
+
+
+@query(
+    "stream_dedup",
+    f"SELECT {n('count(DISTINCT event_id)', 'events')}, count(*)::BIGINT AS rows FROM events",
+)
+def stream_dedup(spark, d):
+    """Every event arrives twice in the same micro-batch; one copy stays."""
+    rows = tables.events(spark, d).select("event_id", "ts")
+    twice = as_stream(spark, rows.unionByName(rows), "ts")
+    kept = finished(spark, st.naive_time(st.stream_dedup(twice, ["event_id"], "ts"), "ts"))
+    return kept.agg(F.countDistinct("event_id").alias("events"), F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "stream_join",
+    f"WITH {WEATHER}, {LOAD} SELECT {t('w.datetime', 'datetime')}, {r('temperature')}, {r('total_load')} FROM weather w JOIN load l ON l.datetime = w.datetime",
+)
+def stream_join(spark, d):
+    weather = as_stream(spark, tables.weather(spark, d).select("datetime", "temperature"))
+    joined = st.stream_join(weather, as_stream(spark, tables.load(spark, d)))
+    return finished(spark, st.naive_time(joined, "datetime"))
+
+
+# Emitted: windows that end no later than the watermark, two hours behind the newest event time.
+
+
+@query(
+    "stream_hourly",
+    f"""WITH {HOURLY} SELECT event_type, {t('datetime')}, {r('total')}, {n('n')} FROM hourly, (SELECT max(ts) AS last FROM events)
+WHERE datetime + INTERVAL 1 HOUR <= last - INTERVAL 2 HOUR""",
+)
+def stream_hourly(spark, d):
+    rows = as_stream(spark, tables.events(spark, d).select("event_type", F.col("ts").alias("datetime"), "value"))
+    aggs = [F.sum("value").alias("total"), F.count(F.lit(1)).alias("n")]
+    return finished(spark, st.stream_hourly(rows, KEY, "datetime", aggs))
+
+
+@query(
+    "stream_day_status",
+    f"""WITH {HOURLY} SELECT event_type, strftime(datetime, '%Y-%m-%d') AS day, {n('count(*)', 'hours_present')}, (count(*) >= 24) AS complete
+FROM hourly, (SELECT max(datetime) AS last FROM hourly) WHERE date_trunc('day', datetime) + INTERVAL 1 DAY <= last - INTERVAL 2 HOUR GROUP BY 1, 2""",
+)
+def stream_day_status(spark, d):
+    rows = as_stream(spark, tables.hourly(spark, d).select(*KEY, "datetime"))
+    return finished(spark, st.stream_day_status(rows, KEY))
+
+
+def _stream_rolling_sql() -> str:
+    parts = []
+    for w in (3, 6):
+        over = f"(PARTITION BY event_type ORDER BY datetime RANGE BETWEEN INTERVAL '{w - 1} hours' PRECEDING AND CURRENT ROW)"
+        parts.append(
+            f"SELECT event_type, datetime, {w} AS window, avg(total) OVER {over} AS m, stddev_samp(total) OVER {over} AS s, "
+            f"count(total) OVER {over} AS c FROM hourly"
+        )
+    return f"""WITH {HOURLY}, x AS ({' UNION ALL '.join(parts)})
+SELECT event_type, {t('datetime')}, {i('"window"', '"window"')}, {r('m', 'rolling_mean')}, {r('s', 'rolling_std')} FROM x, (SELECT max(datetime) AS last FROM hourly)
+WHERE c = "window" AND datetime + INTERVAL 1 HOUR <= last - INTERVAL 2 HOUR"""
+
+
+@query("stream_rolling", _stream_rolling_sql())
+def stream_rolling(spark, d):
+    rows = as_stream(spark, tables.hourly(spark, d).select(*KEY, "datetime", "total"))
+    return finished(spark, st.stream_rolling(rows, "total", (3, 6), KEY))
+
+
+_LAGS = "\n".join(
+    f"LEFT JOIN hourly l{k} ON l{k}.event_type = a.event_type AND l{k}.datetime = a.datetime - INTERVAL {k} HOUR" for k in (1, 24, 168)
+)
+_OVER = "(PARTITION BY event_type ORDER BY datetime RANGE BETWEEN INTERVAL '2 hours' PRECEDING AND CURRENT ROW)"
+
+
+@query(
+    "stream_features",
+    f"""WITH {HOURLY}, x AS (SELECT *, count(total) OVER {_OVER} AS c, avg(total) OVER {_OVER} AS m, stddev_samp(total) OVER {_OVER} AS s FROM hourly)
+SELECT a.event_type, {t('a.datetime', 'datetime')}, {r('a.total', 'total')}, {', '.join(r(f'l{k}.total', f'total_lag_{k}') for k in (1, 24, 168))},
+{r('CASE WHEN c = 3 THEN m END', 'total_rolling_mean_3')}, {r('CASE WHEN c = 3 THEN s END', 'total_rolling_std_3')} FROM x a {_LAGS}""",
+)
+def stream_features(spark, d):
+    rows = as_stream(spark, tables.hourly(spark, d).select(*KEY, "datetime", "total"))
+    return finished(spark, stateful.stream_features(rows, "total", KEY, lags=(1, 24, 168), windows=(3,)))
+
+
+@query(
+    "stream_upsert",
+    f"""WITH {USER_HOURLY} SELECT {n('user_id')}, {t('datetime')}, {r("total + CASE WHEN date_part('day', datetime) % 2 = 0 THEN 1000 ELSE 0 END", 'total')} FROM user_hourly""",
+)
+def stream_upsert(spark, d):
+    """Every hour arrives, then the even days arrive again, corrected; the correction stays."""
+    rows = tables.hourly(spark, d, ["user_id"]).select("user_id", "datetime", "total")
+    out, kept = scratch_path(spark, "gold"), scratch_path(spark, "checkpoint")
+    st.stream_upsert(as_stream(spark, rows), out, kept, ["user_id"]).awaitTermination()
+    late = rows.where(F.day("datetime") % 2 == 0).withColumn("total", F.col("total") + 1000.0)
+    again = scratch_path(spark, "checkpoint")
+    st.stream_upsert(as_stream(spark, late), out, again, ["user_id"]).awaitTermination()
+    return layers.read_layer(spark, out).select("user_id", "datetime", "total")
+
+
+@query(
+    "stream_silver_weather",
+    f"WITH {WEATHER} SELECT {t('datetime')}, {r('humidity::FLOAT::DOUBLE', 'humidity')} FROM weather",
+)
+def stream_silver_weather(spark, d):
+    root = landed(spark, weather_docs(tables.weather(spark, d), []), "weather")
+    out = scratch_path(spark, "silver")
+    st.stream_silver(
+        spark, root, out, scratch_path(spark, "checkpoint"), "weather", None, "all", delay=RETENTION
+    ).awaitTermination()
+    return layers.read_layer(spark, out).select("datetime", "humidity")

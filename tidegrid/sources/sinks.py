@@ -30,16 +30,18 @@ def write_layer(
     mode: str = "append",
     sort: Sequence[str] = (),
     fmt: str = "parquet",
+    tasks: int | None = None,
 ) -> None:
     """Write snappy Parquet in the year/month/day layout.
 
     The rebalance hint gives small partitions one file each and lets AQE split a partition that is too large for one
-    task, so neither small files nor a hot day become a problem.
+    task, so neither small files nor a hot day become a problem. ``tasks`` fixes the number of writers instead: for
+    little data in very many directories, which AQE would hand to a single writer.
     """
     parts = list(LEVELS[level]) if level else []
     if level:
         df = with_partition_cols(df, ts, level)
-    df = df.hint("rebalance", *parts)
+    df = df.repartition(tasks, *parts) if tasks else df.hint("rebalance", *parts)
     order = [*parts, *(sort or [ts])]
     writer = df.sortWithinPartitions(*order).write.format(fmt).mode(mode).option("compression", "snappy")
     if mode == "overwrite" and level:
