@@ -5,31 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from tidegrid.functions.timeparts import next_hour
 from tidegrid.models.training import Fitted, fit_model
 from tidegrid.operators.features import TARGET, FeatureConfig, build_features, training_view
 from tidegrid.operators.ranking import last_row
-from tidegrid.operators.segments import framed
 from tidegrid.operators.windows import time_split
-
-
-def with_future_label(
-    df: DataFrame, target: str = TARGET, steps: int = 1, keys: Sequence[str] = (), ts: str = "datetime", unit="MONTH"
-) -> DataFrame:
-    """Add ``label``: the target ``steps`` rows ahead (NULL at the end of a series).
-
-    Written as a frame that looks back from the later row, so that it shares the run-and-halo route: the earlier row
-    is emitted from the later one.
-    """
-    rest = [c for c in df.columns if c not in (*keys, ts)]
-    packed = F.struct(ts, *rest)
-    back = framed(df, keys, ts, steps, lambda w: [F.lag(packed, steps).over(w).alias("__row")], unit)
-    ahead = back.where(F.col("__row").isNotNull()).select(
-        *keys, "__row.*", F.col(target).cast("double").alias("label")
-    )
-    return ahead.select(*df.columns, "label")
+from tidegrid.session import cut_lineage
 
 
 def training_rows(
@@ -39,11 +23,15 @@ def training_rows(
     steps: int = 1,
     keys: Sequence[str] = (),
     ts: str = "datetime",
+    cut=cut_lineage,
 ) -> tuple[DataFrame, list[str]]:
-    """Features known at an hour, labelled with the target ``steps`` hours later, split by time."""
-    built = with_future_label(build_features(df, config, keys, ts), target, steps, keys, ts)
-    # The current target is a legitimate feature of a future label.
-    view, names = training_view(built.withColumn("__y", F.col("label")).drop("label"), "__y", keys, ts)
+    """Features known at an hour, labelled with the target ``steps`` hours later, split by time.
+
+    The current target is a legitimate feature of a future label. ``cut`` stores the wide feature table before the
+    split numbers its rows, which reads it twice.
+    """
+    built = cut(build_features(df, replace(config, label=target, label_steps=steps), keys, ts))
+    view, names = training_view(built, "label", keys, ts)
     return time_split(view, keys=keys, ts=ts), names
 
 
@@ -56,8 +44,6 @@ def forecast_next(
     steps: int = 1,
 ) -> DataFrame:
     """One record per series: the prediction for ``steps`` hours after its newest row."""
-    from pyspark.ml.feature import VectorAssembler
-
     built = build_features(recent, replace(config, drop=True), keys, ts)
     newest = last_row(built, keys, ts)
     packed = VectorAssembler(inputCols=fitted.names, outputCol="features", handleInvalid="keep").transform(newest)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidegrid.functions.labels import interactions
@@ -29,6 +30,8 @@ class FeatureConfig:
     unit: str | None = UNIT
     drop: bool = True
     skip: Sequence[str] = field(default_factory=tuple)
+    label: str | None = None
+    label_steps: int = 1
 
 
 def numeric_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
@@ -42,7 +45,8 @@ def build_features(
     warm-up are dropped.
 
     All window columns share one specification and are issued in one projection: one sort and one Window node,
-    whatever their number.
+    whatever their number. With ``config.label`` the value of that column ``label_steps`` rows ahead is added as
+    ``label`` in the same pass.
     """
     if ts not in df.columns:
         raise ValueError(f"no time column {ts}")
@@ -53,20 +57,30 @@ def build_features(
         makers.append(lag_columns(cols, config.lags, config.by))
     if config.windows:
         makers.append(rolling_columns(cols, config.windows, config.by, config.shift))
+    if config.label:
+        makers.append(lambda w: [_ahead(config, w)])
     lookback = max([*config.lags, *(w + config.shift for w in config.windows), 1])
+    lookahead = config.label_steps if config.label else 0
 
     def build(w):
         return [column for make in makers for column in make(w)]
 
     if config.by == "rows":
-        out = framed(timed, keys, ts, lookback, build, config.unit)
+        out = framed(timed, keys, ts, lookback, build, config.unit, lookahead=lookahead)
     else:
-        out = framed_by_time(timed, keys, ts, lookback, build)
+        out = framed_by_time(timed, keys, ts, lookback, build, lookahead=lookahead)
     if config.with_interactions:
         out = interactions(out)
     return drop_warmup(out) if config.drop else out
 
 
+def _ahead(config: FeatureConfig, w):
+    target = F.col(config.label).cast("double")
+    if config.by == "rows":
+        return F.lead(target, config.label_steps).over(w).alias("label")
+    return F.first(target).over(w.rangeBetween(config.label_steps, config.label_steps)).alias("label")
+
+
 def feature_names(df: DataFrame, target: str = TARGET, keys: Sequence[str] = (), exclude: Sequence[str] = EXCLUDE):
     """Numeric columns left after the exclusion list, the keys and the target."""
     return numeric_columns(df, (*keys, *exclude, target, "label", "split", "step"))
@@ -83,8 +97,6 @@ def training_view(
     """(keys, time, label, features) in one table, rows without a target dropped; and the feature names."""
     if target not in df.columns:
         raise ValueError(f"target {target} not found, available: {df.columns[:10]}")
-    from pyspark.ml.feature import VectorAssembler
-
     names = feature_names(df, target, keys, exclude)
     known = df.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
     packed = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(known)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -80,8 +81,12 @@ def drop_null_critical(df: DataFrame, cols: Sequence[str] = CANONICAL_REQUIRED)
 
 
 def drop_warmup(df: DataFrame) -> DataFrame:
-    """Drop rows with any NULL, as lag and rolling columns have at the start of a series."""
-    return df.dropna()
+    """Drop rows with any NULL, as lag and rolling columns have at the start of a series.
+
+    One IS NOT NULL per column instead of ``dropna``: its single predicate over all columns makes Catalyst's constraint
+    propagation exponential on wide tables.
+    """
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in df.columns]))
 
 
 def drop_null_target(df: DataFrame, target: str) -> DataFrame:

@@ -155,8 +155,10 @@ def framed(
     build: Callable[[WindowSpec], Sequence[Column]],
     unit: str | int | None = UNIT,
     run_rows: int = RUN_ROWS,
+    lookahead: int = 0,
 ) -> DataFrame:
-    """Append ``build(window)`` where every frame reaches at most ``lookback`` ROWS back. Exact on any grid.
+    """Append ``build(window)`` where every frame reaches at most ``lookback`` ROWS back and ``lookahead`` ahead. Exact
+    on any grid.
 
     ``unit=None`` uses one plain window per series (one shuffle instead of two): right when every series is known to
     fit in a task.
@@ -164,7 +166,8 @@ def framed(
     if unit is None:
         return df.select("*", *build(_key_window(keys).orderBy(F.col(ts))))
     placed = with_position(df, keys, ts, unit)
-    return _haloed(placed, df.columns, keys, F.col(POS) - 1, F.col(TOTAL) - 1, POS, lookback, build, run_rows)
+    span = (F.lit(0), F.col(TOTAL) - 1)
+    return _haloed(placed, df.columns, keys, F.col(POS) - 1, span, POS, lookback, lookahead, build, run_rows)
 
 
 def framed_by_time(
@@ -175,11 +178,12 @@ def framed_by_time(
     build: Callable[[WindowSpec], Sequence[Column]],
     step: str = "1 hour",
     run_rows: int = RUN_ROWS,
+    lookahead: int = 0,
 ) -> DataFrame:
     """Same with RANGE frames over the slot number of ``ts``. One shuffle, no counting: the slot is a function of ts."""
     # The window orders by the slot, so frame bounds count steps of the grid.
     placed = df.withColumn(SLOT, slot_number(ts, step))
-    return _haloed(placed, df.columns, keys, F.col(SLOT), None, SLOT, lookback, build, run_rows)
+    return _haloed(placed, df.columns, keys, F.col(SLOT), None, SLOT, lookback, lookahead, build, run_rows)
 
 
 def slot_number(ts: str, step: str = "1 hour") -> Column:
@@ -196,13 +200,14 @@ def _key_window(keys: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
 
 
-def _haloed(placed, columns, keys, place, last_place, order, lookback, build, run_rows) -> DataFrame:
-    size = max(run_rows, lookback + 1)
+def _haloed(placed, columns, keys, place, span, order, lookback, lookahead, build, run_rows) -> DataFrame:
+    size = max(run_rows, lookback + 1, lookahead + 1)
     own = F.floor(place / size)
-    reach = F.floor((place + lookback) / size)
-    if last_place is not None:
-        reach = F.least(reach, F.floor(last_place / size))
-    runs = placed.withColumn(RUN, F.explode(F.sequence(own, reach)))
+    first = F.floor((place - lookahead) / size) if lookahead else own
+    last = F.floor((place + lookback) / size)
+    if span is not None:
+        first, last = F.greatest(first, F.floor(span[0] / size)), F.least(last, F.floor(span[1] / size))
+    runs = placed.withColumn(RUN, F.explode(F.sequence(first, last)))
     window = Window.partitionBy(*keys, RUN).orderBy(F.col(order))
     return (
         runs.select(*columns, RUN, order, own.alias("__own"), *build(window))
