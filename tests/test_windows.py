@@ -99,9 +99,9 @@ def test_lag_and_rolling_match_pandas_in_small_runs(spark):
             expected[(key_of(k), g.at[i, "datetime"].to_pydatetime())] = part.loc[i]
     df = spark.createDataFrame(rows, "k string, datetime timestamp_ntz, x double")
 
-    def build(w):
-        lags = windows.lag_columns(["x"], [1, 5])(w)
-        mean, std = windows.rolling_columns(["x"], [3])(w)
+    def build(over):
+        lags = windows.lag_columns(["x"], [1, 5])(over)
+        mean, std = windows.rolling_columns(["x"], [3])(over)
         return [lags[0].alias("lag1"), lags[1].alias("lag5"), mean.alias("mean"), std.alias("std")]
 
     compare(framed(df, ["k"], "datetime", 5, build, "DAY", run_rows=6), expected, cols)
@@ -110,7 +110,7 @@ def test_lag_and_rolling_match_pandas_in_small_runs(spark):
 
 def test_lead_crosses_runs(spark):
     df = series(spark, [float(v) for v in range(20)], "a")
-    out = framed(df, ["k"], "datetime", 1, lambda w: [F.lead("x", 3).over(w).alias("y")], "HOUR", 4, lookahead=3)
+    out = framed(df, ["k"], "datetime", 1, lambda over: [F.expr(f"lead(x, 3) OVER ({over}) AS y")], "HOUR", 4, lookahead=3)
     assert [r["y"] for r in out.orderBy("datetime").collect()] == [*map(float, range(3, 20)), None, None, None]
 
 

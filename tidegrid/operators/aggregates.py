@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegrid.functions import errors
 from tidegrid.operators.joins import with_series_stats
-from tidegrid.operators.segments import UNIT, framed
+from tidegrid.operators.segments import UNIT, framed, quoted
 
 TREND_PERCENT = 1.0
 DIGEST = 10000
@@ -171,11 +171,9 @@ def direction_accuracy(
 ) -> DataFrame:
     """Percent of steps whose rise (> 0) is predicted, over consecutive rows; NULL for fewer than two rows."""
 
-    def steps(w):
-        return [
-            (F.col(y) - F.lag(y).over(w) > 0).alias("__actual_up"),
-            (F.col(p) - F.lag(p).over(w) > 0).alias("__predicted_up"),
-        ]
+    def steps(over: str) -> list[Column]:
+        pairs = ((y, "__actual_up"), (p, "__predicted_up"))
+        return [F.expr(f"{quoted(c)} - lag({quoted(c)}) OVER ({over}) > 0 AS {name}") for c, name in pairs]
 
     hit = (F.col("__actual_up") == F.col("__predicted_up")).cast("int")
     stepped = framed(df.select(*keys, ts, y, p), keys, ts, 1, steps, unit)

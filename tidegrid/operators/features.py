@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidegrid.functions.labels import interactions
 from tidegrid.functions.timeparts import time_features
 from tidegrid.operators.quality import drop_warmup
-from tidegrid.operators.segments import UNIT, framed, framed_by_time
+from tidegrid.operators.segments import UNIT, framed, framed_by_time, quoted
 from tidegrid.operators.windows import LAGS, WINDOWS, lag_columns, rolling_columns
 
 # Fixed names that are never features.
@@ -58,12 +58,12 @@ def build_features(
     if config.windows:
         makers.append(rolling_columns(cols, config.windows, config.by, config.shift))
     if config.label:
-        makers.append(lambda w: [_ahead(config, w)])
+        makers.append(lambda over: [_ahead(config, over)])
     lookback = max([*config.lags, *(w + config.shift for w in config.windows), 1])
     lookahead = config.label_steps if config.label else 0
 
-    def build(w):
-        return [column for make in makers for column in make(w)]
+    def build(over: str):
+        return [column for make in makers for column in make(over)]
 
     if config.by == "rows":
         out = framed(timed, keys, ts, lookback, build, config.unit, lookahead=lookahead)
@@ -74,11 +74,11 @@ def build_features(
     return drop_warmup(out) if config.drop else out
 
 
-def _ahead(config: FeatureConfig, w):
-    target = F.col(config.label).cast("double")
+def _ahead(config: FeatureConfig, over: str):
+    target, steps = f"CAST({quoted(config.label)} AS DOUBLE)", config.label_steps
     if config.by == "rows":
-        return F.lead(target, config.label_steps).over(w).alias("label")
-    return F.first(target).over(w.rangeBetween(config.label_steps, config.label_steps)).alias("label")
+        return F.expr(f"lead({target}, {steps}) OVER ({over}) AS label")
+    return F.expr(f"first({target}) OVER ({over} RANGE BETWEEN {steps} FOLLOWING AND {steps} FOLLOWING) AS label")
 
 
 def feature_names(df: DataFrame, target: str = TARGET, keys: Sequence[str] = (), exclude: Sequence[str] = EXCLUDE):

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidegrid.operators.joins import with_scalars
-from tidegrid.operators.segments import UNIT, framed
+from tidegrid.operators.segments import UNIT, framed, quoted
 from tidegrid.schemas import CANONICAL_REQUIRED, CORRUPT
 
 Limits = dict[str, tuple[float | None, float | None]]
@@ -184,7 +184,7 @@ def out_of_order(
 
     ``arrival`` is a timestamp, or a sequence number with ``unit`` the numbers per segment.
     """
-    seen = framed(df, keys, arrival, 1, lambda w: [F.lag(F.col(ts)).over(w).alias("__prev")], unit)
+    seen = framed(df, keys, arrival, 1, lambda over: [F.expr(f"lag({quoted(ts)}) OVER ({over}) AS __prev")], unit)
     return seen.where(F.col(ts) < F.col("__prev")).drop("__prev")
 
 

@@ -27,6 +27,20 @@ UNIT = "MONTH"
 RUN_ROWS = 4096
 
 SEG, POS, TOTAL, RUN, SLOT = "__seg", "__pos", "__total", "__run", "__slot"
+RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+# Builds window columns from the text of a window's partitioning and order; frames are added by the builder. Text keeps
+# wide matrices cheap to declare: one parsed expression per column.
+Build = Callable[[str], Sequence[Column]]
+
+
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def over_text(parts: Sequence[str], order: str) -> str:
+    by = f"PARTITION BY {', '.join(quoted(p) for p in parts)} " if parts else ""
+    return f"{by}ORDER BY {quoted(order)}"
 
 
 def segment(ts: str, unit: str | int = UNIT) -> Column:
@@ -51,11 +65,6 @@ def _before(keys: Sequence[str]) -> WindowSpec:
     return _series_window(keys).orderBy(F.col(SEG)[SEG]).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _after(keys: Sequence[str]) -> WindowSpec:
-    # Descending order keeps the frame a running one; UNBOUNDED FOLLOWING frames are quadratic.
-    return _series_window(keys).orderBy(F.col(SEG)[SEG].desc()).rowsBetween(Window.unboundedPreceding, -1)
-
-
 def with_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -94,57 +103,59 @@ def with_neighbours(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str], ts: str, unit: str | int = UNIT
 ) -> DataFrame:
     """Add the row number and, per column, value and row number of the nearest non-NULL at or before / at or after."""
-    names = {c: neighbour_names(c) for c in cols}
-    up = Window.partitionBy(SEG).orderBy(F.col(ts))
-    so_far = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    to_come = (
-        Window.partitionBy(SEG).orderBy(F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = _grouped(df, keys, ts, unit).withColumn("__inside", F.row_number().over(up))
+    up = f"(PARTITION BY {SEG} ORDER BY {quoted(ts)} {RUNNING})"
+    # Descending order keeps the frame a running one; UNBOUNDED FOLLOWING frames are quadratic.
+    down = f"(PARTITION BY {SEG} ORDER BY {quoted(ts)} DESC {RUNNING})"
+    rank = F.row_number().over(Window.partitionBy(SEG).orderBy(ts)).alias("__inside")
+    ranked = _grouped(df, keys, ts, unit).select("*", rank)
 
-    def at(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.col("__inside"))
+    def at(c: str) -> str:
+        return f"CASE WHEN {quoted(c)} IS NOT NULL THEN __inside END"
 
     # Border values of each segment, then what reaches it from the segments before and after.
     edges = ranked.groupBy(SEG).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[f(F.col(c), at(c)).alias(f"{n}v_{c}") for c in cols for n, f in (("first", F.min_by), ("last", F.max_by))],
-        *[f(at(c)).alias(f"{n}i_{c}") for c in cols for n, f in (("first", F.min), ("last", F.max))],
+        F.expr("count(1) AS __rows"),
+        *[
+            F.expr(f"{f} AS {quoted(side + c)}")
+            for c in cols
+            for side, f in (
+                ("first_v_", f"min_by({quoted(c)}, {at(c)})"),
+                ("first_i_", f"min({at(c)})"),
+                ("last_v_", f"max_by({quoted(c)}, {at(c)})"),
+                ("last_i_", f"max({at(c)})"),
+            )
+        ],
     )
     edges = edges.withColumn("__offset", F.coalesce(F.sum("__rows").over(_before(keys)), F.lit(0)))
+    part = f"PARTITION BY {', '.join(f'{SEG}.{quoted(k)}' for k in keys)} " if keys else ""
+    before, after = (
+        f"({part}ORDER BY {SEG}.{SEG}{way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for way in ("", " DESC")
+    )
 
-    def edge(side: str, c: str) -> Column:
-        place = F.col(f"{side}i_{c}")
-        return F.when(
-            place.isNotNull(), F.struct(F.col(f"{side}v_{c}").alias("v"), (F.col("__offset") + place).alias("i"))
-        )
+    def carry(side: str, c: str, over: str, name: str) -> str:
+        value, place = quoted(f"{side}_v_{c}"), quoted(f"{side}_i_{c}")
+        edge = f"CASE WHEN {place} IS NOT NULL THEN named_struct('v', {value}, 'i', __offset + {place}) END"
+        return f"last({edge}, true) OVER {over} AS {quoted(name + c)}"
 
-    carried = edges.select(
+    carried = edges.selectExpr(
         SEG,
         "__offset",
-        *[F.last(edge("last", c), ignorenulls=True).over(_before(keys)).alias(f"before_{c}") for c in cols],
-        *[F.last(edge("first", c), ignorenulls=True).over(_after(keys)).alias(f"after_{c}") for c in cols],
+        *[carry("last", c, before, "before_") for c in cols],
+        *[carry("first", c, after, "after_") for c in cols],
     )
-    local = ranked.select(
-        *df.columns,
-        SEG,
-        "__inside",
-        *[F.last(F.col(c), ignorenulls=True).over(so_far).alias(names[c][0]) for c in cols],
-        *[F.last(at(c), ignorenulls=True).over(so_far).alias(names[c][1]) for c in cols],
-        *[F.last(F.col(c), ignorenulls=True).over(to_come).alias(names[c][2]) for c in cols],
-        *[F.last(at(c), ignorenulls=True).over(to_come).alias(names[c][3]) for c in cols],
-    )
-    offset = F.col("__offset")
-    out = []
+    near, out = [], []
     for c in cols:
-        pv, pi, nv, ni = names[c]
-        out += [
-            F.coalesce(F.col(pv), F.col(f"before_{c}")["v"]).alias(pv),
-            F.coalesce(offset + F.col(pi), F.col(f"before_{c}")["i"]).alias(pi),
-            F.coalesce(F.col(nv), F.col(f"after_{c}")["v"]).alias(nv),
-            F.coalesce(offset + F.col(ni), F.col(f"after_{c}")["i"]).alias(ni),
-        ]
-    return local.join(carried, SEG).select(*df.columns, (offset + F.col("__inside")).alias(POS), *out)
+        pv, pi, nv, ni = (quoted(x) for x in neighbour_names(c))
+        for value, place, over in ((pv, pi, up), (nv, ni, down)):
+            near += [f"last({quoted(c)}, true) OVER {over} AS {value}", f"last({at(c)}, true) OVER {over} AS {place}"]
+        for value, place, side in ((pv, pi, f"before_{c}"), (nv, ni, f"after_{c}")):
+            out += [
+                f"coalesce({value}, {quoted(side)}.v) AS {value}",
+                f"coalesce(__offset + {place}, {quoted(side)}.i) AS {place}",
+            ]
+    columns = [quoted(c) for c in df.columns]
+    local = ranked.selectExpr(*columns, SEG, "__inside", *near)
+    return local.join(carried, SEG).selectExpr(*columns, f"__offset + __inside AS {POS}", *out)
 
 
 def framed(
@@ -152,19 +163,19 @@ def framed(
     keys: Sequence[str],
     ts: str,
     lookback: int,
-    build: Callable[[WindowSpec], Sequence[Column]],
+    build: Build,
     unit: str | int | None = UNIT,
     run_rows: int = RUN_ROWS,
     lookahead: int = 0,
 ) -> DataFrame:
-    """Append ``build(window)`` where every frame reaches at most ``lookback`` ROWS back and ``lookahead`` ahead. Exact
+    """Append ``build(over)`` where every frame reaches at most ``lookback`` ROWS back and ``lookahead`` ahead. Exact
     on any grid.
 
     ``unit=None`` uses one plain window per series (one shuffle instead of two): right when every series is known to
     fit in a task.
     """
     if unit is None:
-        return df.select("*", *build(_key_window(keys).orderBy(F.col(ts))))
+        return df.select("*", *build(over_text(keys, ts)))
     placed = with_position(df, keys, ts, unit)
     span = (F.lit(0), F.col(TOTAL) - 1)
     return _haloed(placed, df.columns, keys, F.col(POS) - 1, span, POS, lookback, lookahead, build, run_rows)
@@ -175,7 +186,7 @@ def framed_by_time(
     keys: Sequence[str],
     ts: str,
     lookback: int,
-    build: Callable[[WindowSpec], Sequence[Column]],
+    build: Build,
     step: str = "1 hour",
     run_rows: int = RUN_ROWS,
     lookahead: int = 0,
@@ -196,10 +207,6 @@ def step_seconds(step: str) -> int:
     return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
-def _key_window(keys: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-
-
 def _haloed(placed, columns, keys, place, span, order, lookback, lookahead, build, run_rows) -> DataFrame:
     size = max(run_rows, lookback + 1, lookahead + 1)
     own = F.floor(place / size)
@@ -208,9 +215,8 @@ def _haloed(placed, columns, keys, place, span, order, lookback, lookahead, buil
     if span is not None:
         first, last = F.greatest(first, F.floor(span[0] / size)), F.least(last, F.floor(span[1] / size))
     runs = placed.withColumn(RUN, F.explode(F.sequence(first, last)))
-    window = Window.partitionBy(*keys, RUN).orderBy(F.col(order))
     return (
-        runs.select(*columns, RUN, order, own.alias("__own"), *build(window))
+        runs.select(*columns, RUN, order, own.alias("__own"), *build(over_text([*keys, RUN], order)))
         .where(F.col(RUN) == F.col("__own"))
         .drop(RUN, order, "__own")
     )

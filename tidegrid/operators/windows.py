@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegrid.operators.quality import null_outliers
 from tidegrid.operators.segments import (
     POS,
     TOTAL,
     UNIT,
+    Build,
     framed,
     framed_by_time,
     neighbour_names,
+    quoted,
     with_neighbours,
     with_position,
 )
@@ -26,27 +28,29 @@ SPLIT_RATIOS = (0.7, 0.15, 0.15)
 PHYSICAL_LIMITS = {"temperature": (-10.0, 60.0), "electricity_demand": (0.0, None)}
 
 
-def lag_columns(cols: Sequence[str], lags: Sequence[int], by: str = "rows"):
-    def build(w: WindowSpec) -> list[Column]:
+def lag_columns(cols: Sequence[str], lags: Sequence[int], by: str = "rows") -> Build:
+    def one(c: str, k: int, over: str) -> str:
         if by == "rows":
-            return [F.lag(F.col(c), k).over(w).alias(f"{c}_lag_{k}") for c in cols for k in lags]
-        return [F.first(F.col(c)).over(w.rangeBetween(-k, -k)).alias(f"{c}_lag_{k}") for c in cols for k in lags]
+            return f"lag({quoted(c)}, {k}) OVER ({over})"
+        return f"first({quoted(c)}) OVER ({over} RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING)"
 
-    return build
+    return lambda over: [F.expr(f"{one(c, k, over)} AS {quoted(f'{c}_lag_{k}')}") for c in cols for k in lags]
 
 
-def rolling_columns(cols: Sequence[str], windows: Sequence[int], by: str = "rows", shift: int = 0):
+def rolling_columns(cols: Sequence[str], windows: Sequence[int], by: str = "rows", shift: int = 0) -> Build:
     """Mean and sample deviation; NULL unless the frame holds ``size`` non-NULL values."""
+    kind = "ROWS" if by == "rows" else "RANGE"
+    last = f"{shift} PRECEDING" if shift else "CURRENT ROW"
 
-    def build(w: WindowSpec) -> list[Column]:
+    def build(over: str) -> list[Column]:
         out = []
         for c in cols:
             for size in windows:
-                lo, hi = -(size - 1) - shift, -shift
-                frame = w.rowsBetween(lo, hi) if by == "rows" else w.rangeBetween(lo, hi)
-                full = F.count(F.col(c)).over(frame) == size
-                for name, f in (("mean", F.avg), ("std", F.stddev_samp)):
-                    out.append(F.when(full, f(F.col(c)).over(frame)).alias(f"{c}_rolling_{name}_{size}"))
+                frame = f"({over} {kind} BETWEEN {size - 1 + shift} PRECEDING AND {last})"
+                full = f"count({quoted(c)}) OVER {frame} = {size}"
+                for name, f in (("mean", "avg"), ("std", "stddev_samp")):
+                    value = f"CASE WHEN {full} THEN {f}({quoted(c)}) OVER {frame} END"
+                    out.append(F.expr(f"{value} AS {quoted(f'{c}_rolling_{name}_{size}')}"))
         return out
 
     return build
@@ -102,20 +106,17 @@ def bfill(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), ts: str
 
 
 def _interpolated(c: str, limit: int, fill_rest: bool) -> Column:
-    pv, pi, nv, ni = (F.col(n) for n in neighbour_names(c))
-    since, until = F.col(POS) - pi, ni - F.col(POS)
-    slope = (nv - pv) / (ni - pi)
-    near = (since <= limit) | (until <= limit)
-    inner = F.when(near, pv + slope * since)
-    before, after = F.when(until <= limit, nv), F.when(since <= limit, pv)
-    if fill_rest:
-        # Forward fill repeats the last interpolated value of a long gap; the ends take the nearest value.
-        inner, before, after = inner.otherwise(pv + slope * limit), nv, pv
-    return (
-        F.when(F.col(c).isNotNull(), F.col(c))
-        .when(pv.isNotNull() & nv.isNotNull(), inner)
-        .when(nv.isNotNull(), before)
-        .when(pv.isNotNull(), after)
+    pv, pi, nv, ni = (quoted(n) for n in neighbour_names(c))
+    since, until = f"({POS} - {pi})", f"({ni} - {POS})"
+    slope = f"({nv} - {pv}) / ({ni} - {pi})"
+    # Forward fill repeats the last interpolated value of a long gap; the ends take the nearest value.
+    rest = f"{pv} + {slope} * {limit}" if fill_rest else "NULL"
+    inner = f"CASE WHEN {since} <= {limit} OR {until} <= {limit} THEN {pv} + {slope} * {since} ELSE {rest} END"
+    before = nv if fill_rest else f"CASE WHEN {until} <= {limit} THEN {nv} END"
+    after = pv if fill_rest else f"CASE WHEN {since} <= {limit} THEN {pv} END"
+    return F.expr(
+        f"CASE WHEN {quoted(c)} IS NOT NULL THEN {quoted(c)} WHEN {pi} IS NOT NULL AND {ni} IS NOT NULL THEN {inner} "
+        f"WHEN {ni} IS NOT NULL THEN {before} WHEN {pi} IS NOT NULL THEN {after} END"
     )
 
 

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-
-from tidegrid.plans.tables import fixed
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,15 +30,15 @@ def tidy(df: DataFrame) -> DataFrame:
     """Comparable output: reals to six decimals, times as text, whole numbers as they are."""
     cols = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = fixed(c.cast("double"))
+            c = f"round(CAST({c} AS DOUBLE) + 1e-9D, 6) AS {c}"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss') AS {c}"
         elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            c = f"date_format({c}, 'yyyy-MM-dd') AS {c}"
+        cols.append(c)
+    return df.selectExpr(*cols)
 
 
 # SQL text: t() prints a time, r() a real, both as tidy() does.

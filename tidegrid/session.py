@@ -19,6 +19,8 @@ SETTINGS = {
     # Zero-padded month/day directories must stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording the Python call site of every column costs seconds on a matrix of hundreds of columns.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
