@@ -35,6 +35,7 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_entry_has_a_stable_schema(spark):
+def test_entry_has_rows_and_a_stable_schema(spark):
     df = entry.entry(spark)
     assert len(df.columns) == 169 and df.columns[0] == "datetime"
+    assert df.count() > 0

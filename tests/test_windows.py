@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidegrid.operators import features, quality, windows
+from tidegrid.operators import features, joins, quality, windows
 from tidegrid.operators.segments import framed, with_position
 
 START = datetime(2024, 1, 30, 20)
@@ -182,3 +182,13 @@ def test_feature_matrix_layout_and_label(spark):
     labelled = features.build_features(df, features.FeatureConfig(lags=(1,), windows=(3,), label="electricity_demand"))
     row = labelled.orderBy("datetime").first()
     assert row["electricity_demand"] == rows[2][1] and row["label"] == rows[3][1]
+
+
+def test_regularise_spreads_long_series_and_keeps_null_keys(spark):
+    """Two thousand slots: more than one chunk of the grid."""
+    rows = [(k, START + timedelta(hours=h), float(h)) for k in ("a", None) for h in (0, 7, 1024, 2000)]
+    df = spark.createDataFrame(rows, "k string, datetime timestamp_ntz, x double")
+    out = joins.regularise(df, ["k"])
+    counts = out.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("datetime").alias("d"), F.sum("x").alias("s"))
+    assert {(r["n"], r["d"], r["s"]) for r in counts.collect()} == {(2001, 2001, 3031.0)}
+    assert counts.count() == 2

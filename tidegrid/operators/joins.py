@@ -53,8 +53,11 @@ def regularise(
 
     The grid runs from the first to the last slot of each series, or over [start, end] when given.
     """
-    grid = series_grid(df, keys, ts, step, start, end)
-    return grid.join(df, [*keys, ts], "left").select(*df.columns)
+    # Joined on a struct, in which NULL keys are equal, so a series with a NULL key keeps its values.
+    slot = F.struct(*keys, ts)
+    grid = series_grid(df, keys, ts, step, start, end).withColumn("__slot", slot)
+    rest = [c for c in df.columns if c not in (*keys, ts)]
+    return grid.join(df.select(slot.alias("__slot"), *rest), "__slot", "left").select(*df.columns)
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

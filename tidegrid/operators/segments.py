@@ -23,6 +23,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tidegrid.sources.spine import step_seconds
+
 UNIT = "MONTH"
 RUN_ROWS = 4096
 
@@ -202,11 +204,6 @@ def slot_number(ts: str, step: str = "1 hour") -> Column:
     return F.floor(F.timestamp_diff("MICROSECOND", origin, F.col(ts)) / (step_seconds(step) * 1_000_000))
 
 
-def step_seconds(step: str) -> int:
-    count, unit = step.split()
-    return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-
-
 def _haloed(placed, columns, keys, place, span, order, lookback, lookahead, build, run_rows) -> DataFrame:
     size = max(run_rows, lookback + 1, lookahead + 1)
     own = F.floor(place / size)

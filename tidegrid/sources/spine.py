@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Fixed first day of the history.
 HISTORY_START = date(2021, 10, 27)
+CHUNK = 1024
 
 
 def date_spine(spark: SparkSession, start, end, unit: str = "DAY", name: str = "datetime") -> DataFrame:
@@ -24,13 +25,27 @@ def date_spine(spark: SparkSession, start, end, unit: str = "DAY", name: str = "
 def series_grid(
     df: DataFrame, keys: Sequence[str], ts: str, step: str = "1 hour", start=None, end=None
 ) -> DataFrame:
-    """All slots of each series. The bounds are one partial-aggregated row per series, expanded by a generator."""
+    """All slots of each series.
+
+    The bounds are one partial-aggregated row per series. They are expanded in two steps, first to chunks of slots that
+    are spread over the tasks, so neither one long array nor one long series is a single task's work.
+    """
     low = F.min(ts) if start is None else F.lit(str(start)).cast("timestamp_ntz")
     high = F.max(ts) if end is None else F.lit(str(end)).cast("timestamp_ntz")
-    bounds = df.groupBy(*keys).agg(low.alias("__low"), high.alias("__high"))
-    return bounds.where(F.col("__low") <= F.col("__high")).select(
-        *keys, F.explode(F.sequence("__low", "__high", F.expr(f"INTERVAL {step}"))).alias(ts)
-    )
+    chunk = f"INTERVAL {CHUNK * step_seconds(step)} SECOND"
+    bounds = df.groupBy(*keys).agg(low.alias("__low"), high.alias("__high")).where("__low <= __high")
+    chunks = bounds.selectExpr(
+        *[f"`{k}`" for k in keys], "__high", f"explode(sequence(__low, __high, {chunk})) AS __from"
+    ).repartition(*keys, "__from")
+    last = f"least(__from + INTERVAL {(CHUNK - 1) * step_seconds(step)} SECOND, __high)"
+    slots = f"explode(sequence(__from, {last}, INTERVAL {step})) AS `{ts}`"
+    return chunks.selectExpr(*[f"`{k}`" for k in keys], slots)
+
+
+def step_seconds(step: str) -> int:
+    """Length of a step such as ``1 hour`` or ``15 minutes``."""
+    count, unit = step.split()
+    return int(count) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
 def run_target(mode: str, now: datetime, history_start: date = HISTORY_START) -> dict:
