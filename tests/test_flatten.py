@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions import labels, timeparts
 from tidegrid.operators import compaction, flatten, quality
 from tidegrid.sources import bronze
+from tidegrid.streaming.hourly import silver_rows
 
 
 def put(root, source, day, name, doc, text=None):
@@ -43,6 +44,9 @@ def test_weather_documents(spark, tmp_path):
     silver = flatten.select_weather(rows).orderBy("datetime").collect()
     assert [r["datetime"] for r in silver] == [datetime(2024, 1, 5), datetime(2024, 1, 5, 13), datetime(2024, 1, 6, 13)]
     assert silver[0]["temperature"] is None and silver[0]["humidity"] == 80 and silver[1]["cloud_cover"] is None
+    # The same rows as the jobs make them: bad text and unreadable documents never stop a run.
+    made = silver_rows(docs, "weather").orderBy("datetime").collect()
+    assert [r["temperature"] for r in made] == [None, 24.5, 24.5]
     assert bronze.read_bronze(spark, str(tmp_path), "weather", granularity="hourly").count() == 1
     assert bronze.read_bronze(spark, str(tmp_path), "weather", granularity="daily").count() == 3
     assert {r["month"] for r in docs.collect()} == {"01"}

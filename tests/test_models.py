@@ -1,3 +1,4 @@
+import json
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -111,3 +112,27 @@ def test_models_are_named():
     assert "gbt" in training.list_models()
     with pytest.raises(ValueError):
         training.model("none")
+
+
+def test_registry_of_documents(spark, tmp_path):
+    """One metadata document per version, as JSON files in version folders."""
+    for version, rmse in (("v1.0.1", 50.0), ("v1.0.2", 40.0)):
+        folder = tmp_path / "gbt" / version
+        folder.mkdir(parents=True)
+        doc = {
+            "model_type": "gbt",
+            "version": version,
+            "training": {"completed_at": f"2024-01-0{version[-1]}T00:00:00", "total_samples": 10, "feature_names": ["a"]},
+            "metrics": {"rmse": rmse},
+            "tags": {},
+            "notes": "",
+        }
+        (folder / "metadata.json").write_text(json.dumps(doc, indent=2))
+        (folder / "metrics.json").write_text(json.dumps({"rmse": rmse}))
+    docs = layers.read_model_documents(spark, str(tmp_path))
+    assert docs.count() == 2
+    assert reg.latest_version(docs).first()["version"] == "v1.0.2"
+    assert reg.best_model(docs).first()["version"] == reg.promote(docs).first()["version"] == "v1.0.2"
+    assert reg.compare_versions(docs, "v1.0.1", "v1.0.2").first()["improvement_percentage"] == pytest.approx(20.0)
+    kept = {r["version"]: r["keep"] for r in reg.retain_versions(docs, 1).collect()}
+    assert kept == {"v1.0.1": False, "v1.0.2": True}

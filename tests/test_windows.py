@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegrid.operators import features, joins, quality, windows
-from tidegrid.operators.segments import framed, with_position
+from tidegrid.operators.segments import framed, unit_for, with_position
 
 START = datetime(2024, 1, 30, 20)
 
@@ -192,3 +192,8 @@ def test_regularise_spreads_long_series_and_keeps_null_keys(spark):
     counts = out.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("datetime").alias("d"), F.sum("x").alias("s"))
     assert {(r["n"], r["d"], r["s"]) for r in counts.collect()} == {(2001, 2001, 3031.0)}
     assert counts.count() == 2
+
+
+def test_route_follows_the_longest_series(spark):
+    df = series(spark, [1.0] * 50, "a")
+    assert unit_for(df, ["k"], most=50) is None and unit_for(df, ["k"], "DAY", most=49) == "DAY"

@@ -163,7 +163,8 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str], kind: str = "float") -> D
 
 
 def _or_null(df: DataFrame, source: str, name: str, kind: str) -> Column:
-    return (F.col(source) if source in df.columns else F.lit(None)).cast(kind).alias(name)
+    value = F.col(source).try_cast(kind) if source in df.columns else F.lit(None).cast(kind)
+    return value.alias(name)
 
 
 def select_weather(df: DataFrame, keys: Sequence[str] = (), kind: str = "float") -> DataFrame:

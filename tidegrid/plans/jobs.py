@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,6 +29,7 @@ from tidegrid.operators.flatten import (
 )
 from tidegrid.operators.joins import join_all_signals, join_signals, regularise
 from tidegrid.operators.quality import check_canonical, dedup_first, drop_null_critical
+from tidegrid.operators.segments import unit_for
 from tidegrid.operators.windows import impute_canonical
 from tidegrid.session import cut_lineage
 from tidegrid.sources.bronze import read_bronze
@@ -212,6 +214,8 @@ def full_training(
 ) -> dict:
     """Features, split, fit, evaluate, register. Returns the version, metrics and the importance table."""
     started = datetime.now(timezone.utc)
+    if config.by == "rows":
+        config = replace(config, unit=unit_for(gold, keys))
     view, names = training_rows(gold, config, target, steps, keys)
     view = cut_lineage(view)
     fitted = fit_model(view, names, params, early_stopping=early_stopping)

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.operators.compaction import union_dedup
 from tidegrid.operators.flatten import (
+    WEATHER_NAMES,
     coerce_numeric,
     flatten_electricity,
     flatten_weather,
@@ -59,7 +60,8 @@ def silver_rows(docs: DataFrame, source: str, keys: Sequence[str] = ()) -> DataF
     """Documents to typed silver rows; the same expressions serve batch and stream."""
     good = docs.where(payload_problem(source).isNull())
     if source == "weather":
-        return select_weather(flatten_weather(good, ("query_date", *keys)), keys)
+        rows = coerce_numeric(flatten_weather(good, ("query_date", *keys)), list(WEATHER_NAMES))
+        return select_weather(rows, keys)
     return select_electricity(coerce_numeric(flatten_electricity(good, keep=("query_date", *keys)), ["value"]), keys)
 
 
