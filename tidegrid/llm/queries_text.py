@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat
+from tidegrid.llm import chat, warc
 from tidegrid.llm.common import table
+from tidegrid.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +52,34 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(chars + CASE WHEN opens THEN 12 + role_chars + 1 + 11 ELSE 11 END)::BIGINT AS formatted_chars,
        (count(*) FILTER (WHERE opens))::BIGINT AS n_blocks
 FROM marked GROUP BY conv_id"""
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back, payloads checked against their digests."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, sf_dir, "pages"), min_bytes=0), path)
+    columns = ["record_id", "record_type", "refers_to", "payload_digest", "payload_bytes"]
+    back = warc.read_warc(spark, path, columns, verify=True).where(F.col("record_type").isin("response", "revisit"))
+    return back.select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
+
+
+QUERIES["op2_warc"] = op2_warc
+ORACLE["op2_warc"] = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex FROM p),
+b AS (
+  SELECT page_id, payload_bytes, hex,
+         (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(hex, 5 * k + 1, 5))::BIGINT >> (15 - 5 * j))::INT % 32, 1),
+                            '' ORDER BY k, j)
+          FROM (SELECT unnest(range(8)) AS k), (SELECT unnest(range(4)) AS j)) AS payload_digest
+  FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id = min(page_id) OVER (PARTITION BY hex) THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id != min(page_id) OVER (PARTITION BY hex) THEN min(page_id) OVER (PARTITION BY hex) END AS refers_to
+FROM b"""
