@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, warc
+from tidegrid.llm import chat, decontam, warc
 from tidegrid.llm.common import table
 from tidegrid.session import scratch_path
 
@@ -83,3 +83,41 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN page_id = min(page_id) OVER (PARTITION BY hex) THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id != min(page_id) OVER (PARTITION BY hex) THEN min(page_id) OVER (PARTITION BY hex) END AS refers_to
 FROM b"""
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every benchmark item, windows of ten words."""
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES["op3_decontamination"] = op3_decontamination
+ORACLE["op3_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+q AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[k : k + least(10, len(w)) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS k FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM q),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d WHERE len(w) > 0),
+h AS (
+  SELECT s.doc_id, s.k, q.size, q.item_id
+  FROM s JOIN sizes ON s.k + sizes.size - 1 <= len(s.w)
+  JOIN q ON q.size = sizes.size AND q.phrase = array_to_string(s.w[s.k : s.k + sizes.size - 1], ' ')),
+n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM h) GROUP BY doc_id),
+i AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM h GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n_hit, 0)::BIGINT AS n_hit, coalesce(len(i.items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(i.items, ','), '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)"""
