@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, decontam, warc
+from tidegrid.llm import chat, decontam, tokenfiles, warc
 from tidegrid.llm.common import table
 from tidegrid.session import scratch_path
 
@@ -121,3 +122,14 @@ i AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS items FROM h
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n.n_hit, 0)::BIGINT AS n_hit, coalesce(len(i.items), 0)::BIGINT AS n_items,
        sha256(coalesce(array_to_string(i.items, ','), '')) AS items_sha256, coalesce(n.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)"""
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, in order of id, and what the files say of each."""
+    path = scratch_path(spark, "tokens")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    manifest = tokenfiles.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer, end=0)
+    return tokenfiles.read_token_files(manifest, path)
+
+
+QUERIES["op5_token_files"] = op5_token_files
