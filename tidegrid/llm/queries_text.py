@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import chat, decontam, tokenfiles, warc
+from tidegrid.llm import bpe, chat, decontam, tokenfiles, warc
 from tidegrid.llm.common import table
 from tidegrid.session import scratch_path
 
@@ -133,3 +133,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_token_files"] = op5_token_files
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, digests=True, keep=["doc_id"])
+
+
+QUERIES["op8_bpe"] = op8_bpe
