@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import bpe, chat, decontam, tokenfiles, warc
+from tidegrid.llm import bpe, chat, decontam, fingerprints, tokenfiles, warc
 from tidegrid.llm.common import table
 from tidegrid.session import scratch_path
 
@@ -143,3 +143,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_bpe"] = op8_bpe
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents beside their edited copies and their successors."""
+    return fingerprints.edit_study(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_fingerprints"] = op7_fingerprints
