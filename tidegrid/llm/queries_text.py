@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import bpe, chat, decontam, fingerprints, tokenfiles, warc
+from tidegrid.llm import bpe, chat, decontam, fingerprints, quality, tokenfiles, warc
 from tidegrid.llm.common import table
 from tidegrid.session import scratch_path
 
@@ -151,3 +151,15 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_fingerprints"] = op7_fingerprints
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, scored by a model of the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    # The score sees the text alone; the text itself is not carried on.
+    scored = quality.score(docs.withColumn("held_out", quality.fold("doc_id") == 0), model).drop("text")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES["op6_quality"] = op6_quality
