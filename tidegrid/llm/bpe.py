@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm.common import chunks
+from tidegrid.llm.common import chunks, map_batches
 from tidegrid.llm.pieces import Pieces, Ragged
 
 #: Bytes of text whose pieces are merged together.
@@ -205,7 +205,7 @@ def encode(
                 yield pa.RecordBatch.from_pydict(columns)
 
     kind = rows.schema["row"].dataType.simpleString()
-    coded = rows.mapInArrow(run, f"row {kind}, {out}")
+    coded = map_batches(rows, run, f"row {kind}, {out}")
     own = [F.col(f"row.`{c}`").alias(c) for c in keep]
     return coded.select(*own, "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else [F.col("ids").alias(ids)]))
 

@@ -23,6 +23,16 @@ WORD_BYTES = bytes(
 )
 
 
+#: Bytes of one Arrow batch between the JVM and Python; a longer row is a batch of its own.
+BATCH_BYTES = 24_000_000
+
+
+def map_batches(rows: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` over batches that are bounded in bytes, so long texts cannot fill a worker."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return rows.mapInArrow(run, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm.common import chunks, ramps, stored, words
+from tidegrid.llm.common import chunks, map_batches, ramps, stored, words
 
 WINDOW = 10
 #: Words of benchmark text that are sent to the tasks at a time.
@@ -56,7 +56,8 @@ def build_index(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
             )
             number += 1
 
-    return stored(docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(segments, INDEX))
+    rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    return stored(map_batches(rows, segments, INDEX))
 
 
 class Segment:
@@ -169,7 +170,7 @@ def search(index: DataFrame, items: DataFrame, id: str = "item_id", text: str =
                     if len(item):
                         yield spans(row["segment"], part, item, start, end)
 
-        got = stored(index.mapInArrow(scan, HITS))
+        got = stored(map_batches(index, scan, HITS))
         sent.unpersist()
         found = got if found is None else found.unionByName(got)
     return found if found is not None else spark.createDataFrame([], HITS)
@@ -222,7 +223,7 @@ def search_near(
                         }
                     )
 
-        got = stored(index.mapInArrow(scan, NEAR))
+        got = stored(map_batches(index, scan, NEAR))
         sent.unpersist()
         found = got if found is None else found.unionByName(got)
     return found if found is not None else spark.createDataFrame([], NEAR)

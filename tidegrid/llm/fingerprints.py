@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidegrid.llm.common import chunks, mix, shingle_hashes, word_hashes, words
+from tidegrid.llm.common import chunks, map_batches, mix, shingle_hashes, word_hashes, words
 
 WIDE = 16  # lanes of 32 bits
 LANES = 256  # lanes of 16 bits
@@ -91,7 +91,7 @@ def fingerprint(docs: DataFrame, text: str = "text", out: str = "fingerprint") -
             made = vectors([t or "" for t in batch.column("text").to_pylist()]).texts()
             yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "fingerprint": pa.array(made, pa.string())})
 
-    made = rows.mapInArrow(run, StructType([rows.schema["row"]]).add("fingerprint", "string"))
+    made = map_batches(rows, run, StructType([rows.schema["row"]]).add("fingerprint", "string"))
     return made.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != out], F.col("fingerprint").alias(out))
 
 
@@ -148,7 +148,7 @@ def edit_study(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
             held = held[-1:]
 
     order = [F.col("run"), F.col("extra"), F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
-    return with_next(docs, id, text).repartition("run").sortWithinPartitions(*order).mapInArrow(run, EDITED)
+    return map_batches(with_next(docs, id, text).repartition("run").sortWithinPartitions(*order), run, EDITED)
 
 
 def compared(rows: list[tuple[int, bool, int, str]]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidegrid.llm.common import chunks, words
+from tidegrid.llm.common import chunks, map_batches, words
 
 #: The model is fitted on at most so many labelled rows, those with the smallest hashed ids.
 MAX_TRAIN = 20_000
@@ -201,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id: st
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "y double, " + ", ".join(f"f{k} double" for k in range(len(FEATURES)))
-    got = np.array(rows.mapInArrow(run, schema).collect(), np.float64).reshape(-1, len(FEATURES) + 1)
+    got = np.array(map_batches(rows, run, schema).collect(), np.float64).reshape(-1, len(FEATURES) + 1)
     got = got[np.lexsort(got.T)]  # the same tables, whatever the order of arrival
     return fit(got[:, 1:], got[:, 0])
 
@@ -216,5 +216,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
             made = sent.value.score(features(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_pydict({"row": batch.column("row"), "score": pa.array(made, pa.float64())})
 
-    made = rows.mapInArrow(run, StructType([rows.schema["row"]]).add("score", "double"))
+    made = map_batches(rows, run, StructType([rows.schema["row"]]).add("score", "double"))
     return made.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != out], F.col("score").alias(out))

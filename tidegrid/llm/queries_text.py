@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import bpe, chat, decontam, fingerprints, quality, tokenfiles, warc
+from tidegrid.llm import bpe, chat, decontam, fingerprints, pii, quality, tokenfiles, warc
 from tidegrid.llm.common import table
 from tidegrid.session import scratch_path
 
@@ -163,3 +163,13 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_quality"] = op6_quality
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: base matches, and with them what the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs), keep=["doc_id"])
+    return found.select("doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+QUERIES["op10_pii"] = op10_pii

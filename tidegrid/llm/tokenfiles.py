@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidegrid.llm.common import chunks, stored
+from tidegrid.llm.common import chunks, map_batches, stored
 from tidegrid.llm.eliasfano import EliasFano
 from tidegrid.llm.pieces import Pieces, Ragged
 from tidegrid.llm.warc import filesystem
@@ -100,7 +100,8 @@ def write_token_files(
         )
 
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    return stored(rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text").mapInArrow(write, MANIFEST))
+    ranged = rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "text")
+    return stored(map_batches(ranged, write, MANIFEST))
 
 
 def _largest(tokenizer: str, end: int) -> int:
@@ -131,7 +132,7 @@ def read_token_files(manifest: DataFrame, path: str, with_ids: bool = False) ->
 
     parts = max(1, len(listed))
     found = spark.createDataFrame(listed, "shard int, start bigint").repartition(parts, "shard")
-    return found.mapInArrow(read, schema)
+    return map_batches(found, read, schema)
 
 
 def parse_index(data: bytes) -> tuple[list, np.ndarray, int]:
