@@ -12,6 +12,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegrid.llm.common import chunks, map_batches
 from tidegrid.llm.pieces import Pieces, Ragged
 
-#: Bytes of text whose pieces are merged together.
-BLOCK_BYTES = 24_000_000
-#: Distinct pieces that a task remembers; beyond that it starts again.
-REMEMBERED = 1_500_000
+#: Bytes of text whose new pieces are merged together.
+BLOCK_BYTES = 8_000_000
+#: Distinct pieces that a worker remembers, also from task to task; beyond that it starts again.
+REMEMBERED = 500_000
 NONE = np.int32(-1)
 
 
@@ -156,7 +157,7 @@ class Coder:
         fresh = [w.encode("utf-8", "surrogatepass") for w in list(words)[known:]]
         self.ids.extend(*replay(fresh, self.merges))
         n_cuts = np.fromiter(map(len, rows), np.int64, len(rows))
-        cuts = np.fromiter((p for r in rows for p in r), np.int64, int(n_cuts.sum()))
+        cuts = np.fromiter(chain.from_iterable(rows), np.int64, int(n_cuts.sum()))
         word, n_words = self.words_of.take(cuts)
         ids, n_ids = self.ids.take(word)
         per_cut = np.concatenate([[0], np.cumsum(n_words)])[np.concatenate([[0], np.cumsum(n_cuts)])]
@@ -167,6 +168,17 @@ class Coder:
         return b"".join(map(self.merges.tokens.__getitem__, ids))
 
 
+_CODERS: dict[tuple[str, str], Coder] = {}
+
+
+def coder_of(ranks: str, pattern: str, vocabulary: dict[bytes, int]) -> Coder:
+    """One coder for all tasks that a worker runs."""
+    if (ranks, pattern) not in _CODERS:
+        _CODERS.clear()
+        _CODERS[ranks, pattern] = Coder(vocabulary, pattern)
+    return _CODERS[ranks, pattern]
+
+
 SUMMARY = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -186,7 +198,7 @@ def encode(
     out = SUMMARY if digests else "n_tokens bigint, ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(vocabulary.value, pattern)
+        coder = coder_of(ranks, pattern, vocabulary.value)
         names = [str(n).encode() for n in range(coder.merges.size)]
         for batch in chunks(batches, "text", BLOCK_BYTES):
             flat, n = coder.encode(batch.column("text").to_pylist())
