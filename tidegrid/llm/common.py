@@ -13,6 +13,8 @@ from tidegrid.session import cut_lineage as stored  # noqa: F401  (Parquet in th
 
 #: A key is heavy when it holds more than one in HEAVY of all rows, so there are at most HEAVY of them.
 HEAVY = 1000
+#: Keys that may be broadcast.
+FEW = 1_000_000
 #: Characters of text that one task works on at a time; a longer text is a chunk of its own.
 CHUNK_CHARS = 8_000_000
 
@@ -98,6 +100,11 @@ def ramps(n: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(np.cumsum(n) - n, n)
 
 
+def having(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key is among the stored, distinct ``keys``. Keys are broadcast up to a counted FEW, else both sides shuffled."""
+    return rows.join(F.broadcast(keys) if keys.count() <= FEW else keys.hint("merge"), key, "left_semi")
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "left") -> DataFrame:
     """``rows`` joined with ``groups``, one row per key that also tells how many rows have it.
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegrid.llm.common import chunks, join_groups, map_batches, mix, ramps, shingle_hashes, stored, word_hashes, words
+from tidegrid.llm.common import chunks, having, join_groups, map_batches, mix, ramps, shingle_hashes, stored, word_hashes, words
 from tidegrid.llm.components import components
 
 WIDTH = 5  # words of a shingle
@@ -143,7 +143,7 @@ def shingle_rows(docs: DataFrame, keys: DataFrame, text: str, width: int, counte
             yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "shingles": lists})
 
     keyed = docs.select(text_key(text).alias("key"), F.col(text).alias("text"))
-    made = map_batches(keyed.join(keys, "key", "left_semi"), run, "key binary, shingles array<bigint>")
+    made = map_batches(having(keyed, keys, "key"), run, "key binary, shingles array<bigint>")
     return made.groupBy("key").agg(F.first("shingles").alias("shingles"))
 
 
@@ -169,7 +169,7 @@ def links(docs: DataFrame, text: str = "text", width: int = WIDTH, similar: floa
     turn = F.xxhash64("key", "bucket")
     buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("key", turn).alias("leader")).where("n > 1"))
     members = stored(join_groups(members, buckets, "bucket", "n", "inner"))
-    sets = stored(shingle_rows(docs, members.select("key").distinct(), text, width, counted))
+    sets = stored(shingle_rows(docs, stored(members.select("key").distinct()), text, width, counted))
 
     def ordered(x: str, y: str) -> tuple[Column, Column]:
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")

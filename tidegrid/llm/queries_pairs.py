@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegrid.llm import neardup
+from tidegrid.llm import neardup, passages
 from tidegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,3 +18,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_near_duplicates"] = op4_near_duplicates
+
+
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that other documents repeat, at a similarity of 0.8 or more."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"), least_words=50, similar=0.8)
+
+
+QUERIES["op9_repeated_passages"] = op9_repeated_passages
