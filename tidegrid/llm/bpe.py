@@ -179,23 +179,20 @@ def coder_of(ranks: str, pattern: str, vocabulary: dict[bytes, int]) -> Coder:
     return _CODERS[ranks, pattern]
 
 
-SUMMARY = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-
-
 def encode(
-    docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "token_ids", digests: bool = False, keep: list[str] | None = None
+    docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str | None = "token_ids", digests: bool = False, keep: list[str] | None = None
 ) -> DataFrame:
     """``docs`` with the token ids of each whole text in column ``ids``.
 
     Every match of ``pattern`` is encoded by itself, without special tokens. Null and empty texts have no ids. Rows stay one
-    by one, repeated or not, and keep the columns ``keep`` (default: all). With ``digests`` the ids are decoded again and
-    replaced by their number, the digest of the decimal ids and that of the decoded bytes.
+    by one, repeated or not, and keep the columns ``keep`` (default: all). With ``digests`` the ids are decoded again, and
+    the digests of the decimal ids and of the decoded bytes stand beside their number; ``ids`` None leaves the ids out.
     """
     spark = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(load_ranks(spark, ranks))
     keep = docs.columns if keep is None else keep
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("text"))
-    out = SUMMARY if digests else "n_tokens bigint, ids array<int>"
+    out = "n_tokens bigint" + ", ids array<int>" * (ids is not None) + ", ids_sha256 string, decoded_sha256 string" * digests
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(ranks, pattern, vocabulary.value)
@@ -203,6 +200,9 @@ def encode(
         for batch in chunks(batches, "text", BLOCK_BYTES):
             flat, n = coder.encode(batch.column("text").to_pylist())
             columns = {"row": batch.column("row"), "n_tokens": pa.array(n, pa.int64())}
+            if ids is not None:
+                offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
+                columns["ids"] = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
             if digests:
                 ends, listed, coded = np.cumsum(n), [], []
                 for a, b in zip((ends - n).tolist(), ends.tolist()):
@@ -210,16 +210,13 @@ def encode(
                     listed.append(hashlib.sha256(b",".join(map(names.__getitem__, own))).hexdigest())
                     coded.append(hashlib.sha256(coder.decode(own)).hexdigest())
                 columns |= {"ids_sha256": pa.array(listed, pa.string()), "decoded_sha256": pa.array(coded, pa.string())}
-                yield pa.RecordBatch.from_pydict(columns)
-            else:
-                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-                columns["ids"] = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict(columns)
 
     kind = rows.schema["row"].dataType.simpleString()
     coded = map_batches(rows, run, f"row {kind}, {out}")
     own = [F.col(f"row.`{c}`").alias(c) for c in keep]
-    return coded.select(*own, "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else [F.col("ids").alias(ids)]))
+    made = ([] if ids is None else [F.col("ids").alias(ids)]) + ["ids_sha256", "decoded_sha256"] * digests
+    return coded.select(*own, "n_tokens", *made)
 
 
 def decode(coded: DataFrame, ranks: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:

@@ -105,6 +105,11 @@ def having(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(keys) if keys.count() <= FEW else keys.hint("merge"), key, "left_semi")
 
 
+def without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key is not among the stored, distinct ``keys``; rows with a null key stay."""
+    return rows.join(F.broadcast(keys) if keys.count() <= FEW else keys.hint("merge"), key, "left_anti")
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, how: str = "left") -> DataFrame:
     """``rows`` joined with ``groups``, one row per key that also tells how many rows have it.
 

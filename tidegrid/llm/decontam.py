@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm.common import chunks, map_batches, ramps, stored, words
+from tidegrid.llm.common import chunks, map_batches, ramps, stored, without, words
 
 WINDOW = 10
 #: Words of benchmark text that are sent to the tasks at a time.
@@ -264,3 +264,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: s
     """Contamination of whole ``docs`` by ``items`` (columns ``item_id`` and ``text``): one row per row of ``docs``."""
     index = build_index(docs, id, text)
     return contamination(index, search(index, items, window=window))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows whose text holds a window of ``items``. Texts, not ids, tell rows apart; all columns stay."""
+    keyed = docs.withColumn("_tg_text", F.xxhash64(F.col(f"`{text}`")))
+    index = build_index(keyed, "_tg_text", text)
+    hits = search(index, items, window=window).select("segment", "ordinal").distinct()
+    bad = stored(entries(index).join(hits, ["segment", "ordinal"], "left_semi").select(F.col("doc_id").alias("_tg_text")).distinct())
+    return without(keyed, bad, "_tg_text").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegrid.llm.common import chunks, having, join_groups, map_batches, mix, ramps, shingle_hashes, stored, word_hashes, words
+from tidegrid.llm.common import chunks, having, join_groups, map_batches, mix, ramps, shingle_hashes, stored, without, word_hashes, words
 from tidegrid.llm.components import components
 
 WIDTH = 5  # words of a shingle
@@ -197,17 +197,46 @@ def links(docs: DataFrame, text: str = "text", width: int = WIDTH, similar: floa
         leaders *= 16
 
 
+def classes(docs: DataFrame, id: str, text: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Key and id of every row, and of every distinct text its class (``label``), least id and number of rows."""
+    rows = stored(docs.select(F.col(f"`{id}`").alias("_tg_id"), text_key(text).alias("key")))
+    labels = links(docs, text, **options)
+    texts = rows.groupBy("key").agg(F.min("_tg_id").alias("first"), F.count("*").alias("copies"))
+    return rows, stored(texts.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: ``id``, the class it belongs to and how many rows that has.
 
     A class is named after its least id. Equal texts are one class, null texts count as empty, texts without words are
     alike only if equal. Null ids stay null and never name a class unless it has no other; other columns are ignored.
     """
-    rows = stored(docs.select(F.col(id).alias("_tg_id"), text_key(text).alias("key")))
-    labels = links(docs, text, **options)
-    texts = rows.groupBy("key").agg(F.min("_tg_id").alias("first"), F.count("*").alias("copies"))
-    texts = stored(texts.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")))
-    classes = stored(texts.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_rows"), F.count("*").alias("texts")))
-    named = stored(join_groups(texts.select("key", "label", "copies"), classes, "label", "texts", "inner").drop("label", "texts"))
-    out = join_groups(rows, named, "key", "copies", "inner")
+    rows, texts = classes(docs, id, text, **options)
+    named = texts.groupBy("label").agg(F.min("first").alias("class_id"), F.sum("copies").alias("class_rows"), F.count("*").alias("texts"))
+    named = join_groups(texts.select("key", "label", "copies"), stored(named), "label", "texts", "inner").drop("label", "texts")
+    out = join_groups(rows, stored(named), "key", "copies", "inner")
     return out.select(F.col("_tg_id").alias(id), "class_id", "class_rows")
+
+
+def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each class of near duplicates: that with the least id (nulls last), of such with the least text digest.
+
+    If rows repeat both id and text, one of them stays, chosen by a hash of its columns. All columns are kept.
+    """
+    rows, texts = classes(docs, id, text, **options)
+    best = F.min(F.struct(F.col("first").isNull().alias("nameless"), "first", "key")).alias("best")
+    keep = texts.groupBy("label").agg(best).select("best.key", F.col("best.first").alias("_tg_id"))
+    own = lambda key, id_: F.concat(key, F.coalesce(id_.cast("string"), F.lit("-")).cast("binary"))
+    # Which rows go: by far the fewer. Of those that stay, some may still be there twice.
+    named = keep.select(own(F.col("key"), F.col("_tg_id")).alias("_tg_row"), F.lit(True).alias("stays"))
+    counted = rows.groupBy(own(F.col("key"), F.col("_tg_id")).alias("_tg_row")).agg(F.count("*").alias("n"))
+    counted = stored(counted.join(named, "_tg_row", "left"))
+    gone = stored(counted.where("stays IS NULL").select("_tg_row"))
+    twice = stored(counted.where("stays AND n > 1").select("_tg_row"))
+    kept = without(docs.withColumn("_tg_row", own(text_key(text), F.col(f"`{id}`"))), gone, "_tg_row")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if twice.isEmpty():
+        return kept.select(*columns)
+    one = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")
+    again = having(kept, twice, "_tg_row").groupBy("_tg_row").agg(one).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return without(kept, twice, "_tg_row").select(*columns).unionByName(again)

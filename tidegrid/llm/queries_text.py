@@ -139,7 +139,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
-    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, digests=True, keep=["doc_id"])
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids=None, digests=True, keep=["doc_id"])
 
 
 QUERIES["op8_bpe"] = op8_bpe
