@@ -94,7 +94,7 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
     out = []
     for m in NUMBER.finditer(text):
         n = len(DIGITS.findall(m[0]))
-        out += [("card", *m.span())] * (12 <= n <= 20) + [("phone", *m.span())] * (7 <= n <= 16)
+        out += [("card", *m.span())] * (12 <= n <= 20) + [("phone", *m.span())] * (7 <= n <= 15)
     if "." in text:
         out += [("ip", *m.span()) for m in DOTTED.finditer(text)]
     for m in SPELT_AT.finditer(text):
@@ -186,6 +186,8 @@ def examples(texts: list[str]) -> list[tuple[str, float, list[float]]]:
                 span, left, right = around(text, start, end)
                 out += [(kind, 1.0, described(kind, s, left, right)) for s in [span, *respelt(kind, span, rng)]]
                 out += [(kind, 0.0, described(kind, s, left, right)) for s in spoilt(kind, span, rng)]
+                if kind == "card":  # a card is no telephone number, however it is written
+                    out += [("phone", 0.0, described("phone", s, left, right)) for s in [*respelt(kind, span, rng), *spoilt(kind, span, rng)]]
         taken = {(k, *s) for k in KINDS for s in base[k]}
         out += [(k, 0.0, described(k, *around(text, a, b))) for k, a, b in proposals(text) if (k, a, b) not in taken]
     return out
