@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.operators.aggregates import month_completeness
 from tidegrid.operators.flatten import records
-from tidegrid.operators.quality import dedup_first
+from tidegrid.operators.quality import dedup_first, fullest
 from tidegrid.schemas import CORRUPT
 from tidegrid.session import cut_lineage
 from tidegrid.sources.layers import read_layer, where_parts
@@ -27,11 +27,14 @@ def union_dedup(first: DataFrame, *others: DataFrame, keys: Sequence[str] = (),
     rows = union_files(ranked)
     columns = [c for c in rows.columns if c != "__rank"]
     rest = [c for c in columns if c not in (*keys, ts)]
-    return dedup_first(rows, keys, ts, ["__rank", *rest]).select(*columns)
+    return dedup_first(rows, keys, ts, ["__rank", *fullest(rest)]).select(*columns)
 
 
 # One-hour documents to one document per day
 
+# Columns of a scanned document that are no part of it, or are rebuilt.
+DERIVED = ("_metadata", CORRUPT, "arrived_at", "year", "month", "day", "hour")
+
 
 def _day_documents(df, group, slot, record, envelope, file_name):
     """Keep the first record of each slot, then collect the slots of a day in time order.
@@ -54,7 +57,7 @@ def _day_documents(df, group, slot, record, envelope, file_name):
 def compact_weather_docs(df: DataFrame, keys: Sequence[str] = (), file_name: str = "file_name") -> DataFrame:
     """One-hour weather documents of a day become one document: hours sorted, the first document's envelope kept."""
     group = [*keys, "query_date"]
-    envelope = [c for c in df.columns if c not in (*group, "days", file_name, "_metadata", CORRUPT)]
+    envelope = [c for c in df.columns if c not in (*group, "days", file_name, *DERIVED)]
     hours = F.try_element_at(F.col("days"), F.lit(1))["hours"]
     record = F.try_element_at(hours, F.lit(1))
     out = _day_documents(df, group, record["datetime"], record, envelope, file_name)
@@ -72,7 +75,7 @@ def compact_electricity_docs(
     """One-hour electricity documents of a day and signal become one: histories concatenated and sorted, provenance
     rebuilt without the hour."""
     group = [*keys, "query_date"]
-    envelope = [c for c in df.columns if c not in (*group, "data", "history", file_name, "_metadata", CORRUPT)]
+    envelope = [c for c in df.columns if c not in (*group, "data", "history", file_name, *DERIVED)]
     flat = df.select("*", F.explode_outer(records()).alias("__r"))
     if not envelope:
         envelope, flat = ["__none"], flat.withColumn("__none", F.lit(None).cast("string"))
@@ -90,6 +93,13 @@ def compact_electricity_docs(
 # Parquet partitions
 
 
+def in_arrival_order(layer: DataFrame) -> DataFrame:
+    """A scanned layer with ``__arrival``: time and name of the file, and the place in it."""
+    about = layer.metadataColumn("_metadata")
+    place = F.struct(about["file_modification_time"], about["file_path"], about["row_index"])
+    return layer.withColumn("__arrival", place)
+
+
 def partition_status(df: DataFrame, level: str = "day") -> DataFrame:
     """Files per partition and whether compaction has anything to do."""
     parts = list(LEVELS[level])
@@ -120,10 +130,8 @@ def compact_day(
     if status.isEmpty():
         return spark.createDataFrame([("no_files", 0, 0)], "status string, files long, rows long")
     if not todo.isEmpty():
-        columns = layer.columns
-        rest = [c for c in columns if c not in (*keys, ts)]
-        rows = layer.join(todo, parts, "left_semi")
-        merged = dedup_first(rows, [*keys, *parts], ts, [c for c in rest if c not in parts]).select(*columns)
+        rows = in_arrival_order(layer).join(todo, parts, "left_semi")
+        merged = dedup_first(rows, [*keys, *parts], ts, ["__arrival"]).select(*layer.columns)
         replace_partitions(merged, root, level, [*keys, ts])
     return status.withColumn(
         "status", F.when(F.col("status") == "pending", "success").otherwise(F.col("status"))
@@ -131,40 +139,61 @@ def compact_day(
 
 
 def compact_month(
-    spark: SparkSession, daily_root: str, monthly_root: str, now, keys: Sequence[str] = (), ts: str = "datetime"
+    spark: SparkSession,
+    daily_root: str,
+    monthly_root: str,
+    now,
+    keys: Sequence[str] = (),
+    ts: str = "datetime",
+    series: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rewrite every complete, closed month of the daily layer into the monthly layer (year, month directories).
+    """Write every complete, closed month of the daily layer that the monthly layer (year, month directories) lacks.
 
-    Returns completeness per month with a status: success, incomplete (not over) or incomplete_data (days missing).
+    A month is complete when each of its series (columns ``series``, by default ``keys``) has all its days; days are told
+    from the directories. Returns one row per month with a status: success, already_compacted, incomplete (not over) or
+    incomplete_data (days missing). Of copies of a (keys, ts) the first to arrive stays.
     """
     daily = read_layer(spark, daily_root)
-    months = cut_lineage(month_completeness(daily, now, ts))
-    state = (
-        F.when(F.col("complete"), "success").when(~F.col("closed"), "incomplete").otherwise("incomplete_data")
+    own = list(keys if series is None else series)
+    placed = daily.withColumn("__day", F.make_date(*[F.col(p).cast("int") for p in LEVELS["day"]]))
+    each = month_completeness(placed, now, "__day", own)
+    months = each.groupBy("year", "month").agg(
+        F.min("days_present").alias("days_present"),
+        F.min("days_expected").alias("days_expected"),
+        F.bool_and("closed").alias("closed"),
+        F.bool_and("complete").alias("complete"),
     )
-    done = months.where("complete").select(
-        F.lpad(F.col("year").cast("string"), 4, "0").alias("year"),
-        F.lpad(F.col("month").cast("string"), 2, "0").alias("month"),
+    known = spark.createDataFrame([], "year int, month int, __there boolean")
+    if path_exists(spark, monthly_root):
+        parts = [F.col(p).cast("int").alias(p) for p in ("year", "month")]
+        known = read_layer(spark, monthly_root).select(*parts).distinct().withColumn("__there", F.lit(True))
+    state = (
+        F.when(F.col("__there"), "already_compacted")
+        .when(F.col("complete"), "success")
+        .when(~F.col("closed"), "incomplete")
+        .otherwise("incomplete_data")
     )
-    if not done.isEmpty():
-        rows = daily.join(done, ["year", "month"], "left_semi").drop("day")
-        rest = [c for c in rows.columns if c not in (*keys, ts, "year", "month")]
-        merged = dedup_first(rows, [*keys, "year", "month"], ts, rest)
+    months = cut_lineage(months.join(known, ["year", "month"], "left").withColumn("status", state).drop("__there"))
+    # One filter per month, known before the scan: only their directories are read. The calendar bounds the list.
+    wanted = [f"{r.year:04d}-{r.month:02d}" for r in months.where("status = 'success'").select("year", "month").collect()]
+    if wanted:
+        rows = in_arrival_order(daily.where(F.concat_ws("-", "year", "month").isin(wanted)))
+        merged = dedup_first(rows, [*keys, "year", "month"], ts, ["__arrival"]).drop("__arrival", "day")
         replace_partitions(merged, monthly_root, "month", [*keys, ts])
-    return months.withColumn("status", state)
+    return months
 
 
 def retire_hourly(
-    spark: SparkSession, hourly_root: str, daily_root: str, keys: Sequence[str] = (), ts: str = "datetime"
+    spark: SparkSession, hourly_root: str, daily_root: str, keys: Sequence[str] = (), ts: str = "datetime", on=None
 ) -> DataFrame:
-    """Remove hourly day directories once every one of their (keys, ts) is in the daily layer.
+    """Remove hourly day directories, or that of the day ``on``, once every one of their (keys, ts) is in the daily layer.
 
     Days with a row missing from the daily layer stay. Returns one row per day with ``retired``.
     """
     parts = list(LEVELS["day"])
-    hourly = read_layer(spark, hourly_root).select(*parts, *keys, ts).distinct()
+    hourly = read_layer(spark, hourly_root, on).select(*parts, *keys, ts).distinct()
     if path_exists(spark, daily_root):
-        present = read_layer(spark, daily_root).select(*keys, ts).distinct().withColumn("__there", F.lit(1))
+        present = read_layer(spark, daily_root, on).select(*keys, ts).distinct().withColumn("__there", F.lit(1))
         matched = hourly.join(present, [*keys, ts], "left")
     else:
         matched = hourly.withColumn("__there", F.lit(None).cast("int"))

@@ -32,6 +32,21 @@ def dedup_first(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Col
     return df.groupBy(*group).agg(first).select(*[F.col(c) if c in group else F.col("__row")[c].alias(c) for c in df.columns])
 
 
+def dedup_last(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Column | str]) -> DataFrame:
+    """One row per (keys, ts): the last by ``order``."""
+    group = [*keys, ts]
+    rest = [c for c in df.columns if c not in group]
+    place = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
+    last = F.max_by(F.struct(*rest), place).alias("__row")
+    return df.groupBy(*group).agg(last).select(*[F.col(c) if c in group else F.col("__row")[c].alias(c) for c in df.columns])
+
+
+def fullest(cols: Sequence[str]) -> list[Column]:
+    """Order for copies of which nothing tells the age: fewest NULLs first, then by value, so that the choice is fixed."""
+    missing = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in cols], F.lit(0))
+    return [missing, *[F.col(c) for c in cols]]
+
+
 def outside(col: str, low: float | None, high: float | None) -> Column:
     """Strictly outside the closed range."""
     tests = [F.col(col) < low] if low is not None else []

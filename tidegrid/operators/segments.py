@@ -27,7 +27,6 @@ from tidegrid.sources.spine import step_seconds
 
 UNIT = "MONTH"
 RUN_ROWS = 4096
-LONGEST = 100_000
 
 SEG, POS, TOTAL, RUN, SLOT = "__seg", "__pos", "__total", "__run", "__slot"
 RUNNING = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -184,15 +183,6 @@ def framed(
     return _haloed(placed, df.columns, keys, F.col(POS) - 1, span, POS, lookback, lookahead, build, run_rows)
 
 
-def unit_for(df: DataFrame, keys: Sequence[str], unit: str | int = UNIT, most: int = LONGEST) -> str | int | None:
-    """None (one plain window per series) when the longest series is measured to fit in a task, else ``unit``.
-
-    One count per series, combined map-side. Worth it before a wide matrix over very many short series.
-    """
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return None if (longest or 0) <= most else unit
-
-
 def framed_by_time(
     df: DataFrame,
     keys: Sequence[str],

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,13 +26,21 @@ from tidegrid.operators.flatten import (
     slice_hour_weather,
     to_canonical_columns,
 )
-from tidegrid.operators.joins import join_all_signals, join_signals, regularise
-from tidegrid.operators.quality import check_canonical, dedup_first, drop_null_critical
-from tidegrid.operators.segments import unit_for
-from tidegrid.operators.windows import impute_canonical
+from tidegrid.operators.joins import join_all_signals, join_signals, pending_units, regularise
+from tidegrid.operators.quality import (
+    check_canonical,
+    check_payload,
+    dedup_first,
+    dedup_last,
+    drop_null_critical,
+    fullest,
+    null_outliers,
+)
+from tidegrid.operators.windows import PHYSICAL_LIMITS, impute_canonical
+from tidegrid.schemas import CORRUPT
 from tidegrid.session import cut_lineage
 from tidegrid.sources.bronze import read_bronze
-from tidegrid.sources.layers import load_recent, read_layer
+from tidegrid.sources.layers import load_recent, read_layer, where_span
 from tidegrid.sources.sinks import (
     LEVELS,
     overwrite_gold,
@@ -42,18 +49,32 @@ from tidegrid.sources.sinks import (
     with_partition_cols,
     write_prediction,
 )
-from tidegrid.streaming.hourly import read_bronze_stream, silver_rows, upsert
+from tidegrid.streaming.hourly import ARRIVAL, read_bronze_stream, silver_rows, upsert
 
 PARTS = LEVELS["day"]
+# Columns that a scan adds to a document.
+SCAN_COLUMNS = ("file_name", "arrived_at", "query_date", CORRUPT, "signal", "hour")
+
+
+def keep_bad(docs: DataFrame, source: str, path: str, mode: str = "overwrite") -> None:
+    """Store what cannot be read or has no payload: the problem, the file, and the text where there is any."""
+    _, bad = check_payload(docs, source)
+    bad.select("problem", "file_name", F.col(CORRUPT).alias("text")).write.mode(mode).parquet(path)
 
 
-def bronze_to_silver(spark: SparkSession, bronze: str, silver: str, keys: Sequence[str] = ()) -> None:
-    """All landed weather and load documents to deduplicated, typed silver tables."""
+def bronze_to_silver(
+    spark: SparkSession, bronze: str, silver: str, keys: Sequence[str] = (), quarantine: str | None = None
+) -> None:
+    """All landed weather and load documents to typed silver tables; of an hour's copies the first to arrive stays.
+
+    Bad documents are stored below ``quarantine``, one table per source.
+    """
     for source, signal in (("weather", None), ("electricity", "total_load")):
         docs = read_bronze(spark, bronze, source, signal)
-        rows = silver_rows(docs, source, keys)
-        measures = [c for c in rows.columns if c not in (*keys, "datetime")]
-        unique = dedup_first(rows.where(F.col("datetime").isNotNull()), keys, "datetime", measures)
+        if quarantine:
+            keep_bad(docs, source, f"{quarantine}/{source}")
+        rows = silver_rows(docs, source, keys, arrival=True)
+        unique = dedup_first(rows.where(F.col("datetime").isNotNull()), keys, "datetime", ARRIVAL).drop(*ARRIVAL)
         replace_partitions(with_partition_cols(unique), f"{silver}/{source}", "day", [*keys, "datetime"])
 
 
@@ -81,10 +102,17 @@ def silver_to_gold(
 
 
 def backfill(
-    spark: SparkSession, bronze: str, silver: str, gold: str, monthly: str, now, keys: Sequence[str] = ()
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    gold: str,
+    monthly: str,
+    now,
+    keys: Sequence[str] = (),
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Bronze to silver to gold for all days in one plan per layer, then the closed months."""
-    bronze_to_silver(spark, bronze, silver, keys)
+    bronze_to_silver(spark, bronze, silver, keys, quarantine)
     check = silver_to_gold(spark, silver, gold, keys)
     compact_month(spark, gold, monthly, now, keys)
     return check
@@ -98,9 +126,11 @@ def hourly_increment(
     checkpoints: str,
     keys: Sequence[str] = (),
     granularity: str = "hourly",
+    quarantine: str | None = None,
 ) -> None:
     """Each newly landed document once: merged into silver, joined with the stored hours of the other source, merged
-    into hourly gold. Hours of any age are accepted, since the tables themselves are the state."""
+    into hourly gold. Hours of any age are accepted, since the tables themselves are the state; a later copy of an hour
+    replaces an earlier one. Impossible values become NULL before gold, as in the full run."""
     sources = (("weather", None), ("electricity", "total_load"))
     for (source, signal), (other, _) in zip(sources, reversed(sources)):
         docs = read_bronze_stream(spark, bronze, source, signal, granularity)
@@ -108,16 +138,19 @@ def hourly_increment(
         def apply(batch: DataFrame, _: int, source=source, other=other) -> None:
             if batch.isEmpty():
                 return
-            rows = silver_rows(batch, source, keys)
-            measures = [c for c in rows.columns if c not in (*keys, "datetime")]
-            fresh = cut_lineage(dedup_first(rows.where(F.col("datetime").isNotNull()), keys, "datetime", measures))
+            if quarantine:
+                keep_bad(batch, source, f"{quarantine}/{source}", "append")
+            rows = silver_rows(batch, source, keys, arrival=True)
+            fresh = dedup_last(rows.where(F.col("datetime").isNotNull()), keys, "datetime", ARRIVAL).drop(*ARRIVAL)
+            fresh = cut_lineage(fresh)
             upsert(fresh, f"{silver}/{source}", keys)
             if not path_exists(spark, f"{silver}/{other}"):
                 return
             days = with_partition_cols(fresh).select(*PARTS).distinct()
             stored = read_layer(spark, f"{silver}/{other}").join(days, list(PARTS), "left_semi").drop(*PARTS)
             pair = (fresh, stored) if source == "weather" else (stored, fresh)
-            gold = drop_null_critical(to_canonical_columns(join_signals(*pair, keys), keys))
+            joined = to_canonical_columns(join_signals(*pair, keys), keys)
+            gold = drop_null_critical(null_outliers(joined, PHYSICAL_LIMITS))
             upsert(gold, gold_hourly, keys)
 
         query = docs.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoints}/{source}")
@@ -125,19 +158,29 @@ def hourly_increment(
 
 
 def daily_compaction(
-    spark: SparkSession, silver: str, gold_daily: str, gold_hourly: str, on, keys: Sequence[str] = ()
+    spark: SparkSession, silver: str, gold_daily: str, gold_hourly: str, on, keys: Sequence[str] = (), around: int = 7
 ) -> DataFrame:
-    """One day: merge its silver files, rebuild gold, and drop hourly gold that the daily table now covers."""
+    """One day: merge its silver files, rebuild its gold, and drop its hourly gold if the daily table now covers it.
+
+    Only the day and ``around`` days on either side are read. Imputation looks at the nearest readings; a gap that reaches
+    further back than that is filled from inside the range, or not at all.
+    """
     for source in ("weather", "electricity"):
         compact_day(spark, f"{silver}/{source}", on, keys)
-    silver_to_gold(spark, silver, gold_daily, keys)
-    return retire_hourly(spark, gold_hourly, gold_daily, keys)
+    day = datetime.fromisoformat(str(on))
+    low, high = day - timedelta(days=around), day + timedelta(days=around)
+    near = (where_span(read_layer(spark, f"{silver}/{s}"), low, high) for s in ("weather", "electricity"))
+    rows = gold_rows(*near, keys).where(F.to_date("datetime") == F.lit(str(on)).cast("date"))
+    replace_partitions(with_partition_cols(rows), gold_daily, "day", [*keys, "datetime"])
+    return retire_hourly(spark, gold_hourly, gold_daily, keys, on=on)
 
 
 def compact_bronze(
     spark: SparkSession, bronze: str, out: str, signals: Sequence[str] = ("total_load",), granularity: str = "hourly"
 ) -> None:
-    """One-hour documents to one document per day, per source and signal."""
+    """One-hour documents to one document per day, per source and signal. Days that are not there stay as they are."""
+    if out.rstrip("/") == bronze.rstrip("/"):
+        raise ValueError("compacted documents go to a folder of their own")
     docs = compact_weather_docs(read_bronze(spark, bronze, "weather", granularity=granularity))
     _land(docs, f"{out}/weather")
     for signal in signals:
@@ -146,9 +189,9 @@ def compact_bronze(
 
 
 def _land(docs: DataFrame, path: str) -> None:
-    drop = [c for c in ("file_name", "query_date", "_corrupt_record", "signal") if c in docs.columns]
     placed = with_partition_cols(docs, "query_date") if "year" not in docs.columns else docs
-    placed.drop(*drop).write.mode("overwrite").partitionBy(*PARTS).json(path)
+    writer = placed.drop(*SCAN_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTS).json(path)
 
 
 def slice_bronze(
@@ -156,17 +199,20 @@ def slice_bronze(
 ) -> None:
     """Cut day documents to the wanted (query_date, hour) units that have not landed yet.
 
-    ``hours`` has query_date and hour (``HH``, local). Output directories carry the hour.
+    ``hours`` has query_date and hour (``HH``, local). Output directories carry the hour; a unit counts as landed when its
+    directory has a document.
     """
     tasks = [("weather", None), *[("electricity", s) for s in signals]]
     for source, signal in tasks:
-        docs = read_bronze(spark, bronze, source, signal, "daily").join(hours, "query_date")
+        there = "/".join(p for p in (out, source, signal) if p)
+        todo = hours
+        if path_exists(spark, there):
+            landed = read_bronze(spark, out, source, signal, "hourly")
+            todo = cut_lineage(pending_units(hours, landed, ["query_date", "hour"]))
+        docs = read_bronze(spark, bronze, source, signal, "daily").drop("hour").join(todo, "query_date")
         hour = F.col("hour")
         cut = slice_hour_weather(docs, hour) if source == "weather" else slice_hour_electricity(docs, hour, signal)
-        path = "/".join(p for p in (out, source, signal) if p)
-        cut.drop("file_name", "query_date", "_corrupt_record", "signal").write.mode("append").partitionBy(
-            *PARTS, "hour"
-        ).json(path)
+        cut.drop(*[c for c in SCAN_COLUMNS if c != "hour"]).write.mode("append").partitionBy(*PARTS, "hour").json(there)
 
 
 def six_signal_silver(spark: SparkSession, bronze: str, silver: str, names: Mapping[str, Sequence[str] | None]) -> None:
@@ -184,11 +230,12 @@ def six_signal_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     Each table is first reduced to one row per hour, so that a rerun or an overlap cannot multiply rows.
     """
-    noise = ("position", "zone", "signal", "query_date", "file_name", "datetime_utc", "datetime_ict")
+    noise = ("position", "zone", "signal", "query_date", "file_name", "arrived_at", "datetime_utc", "datetime_ict")
     shaped = []
     for name, df in tables.items():
         keep = [c for c in df.columns if c not in noise and c != "hour_ict"]
-        rows = dedup_first(df.select("hour_ict", *keep), [], "hour_ict", keep)
+        place = [c for c in ("file_name", "position") if c in df.columns]
+        rows = dedup_first(df.select("hour_ict", *keep, *place), [], "hour_ict", [*place, *fullest(keep)]).drop(*place)
         shaped.append((name, rows.drop("datetime")))
     spine = dict(shaped)["weather"]
     others = [df for name, df in shaped if name != "weather"]
@@ -214,8 +261,6 @@ def full_training(
 ) -> dict:
     """Features, split, fit, evaluate, register. Returns the version, metrics and the importance table."""
     started = datetime.now(timezone.utc)
-    if config.by == "rows":
-        config = replace(config, unit=unit_for(gold, keys))
     view, names = training_rows(gold, config, target, steps, keys)
     view = cut_lineage(view)
     fitted = fit_model(view, names, params, early_stopping=early_stopping)

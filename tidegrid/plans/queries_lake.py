@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.operators import compaction, flatten, quality
 from tidegrid.plans import jobs, tables
-from tidegrid.plans.catalog import CANON, HOURLY, LOAD, WEATHER, i, n, query, r, t
+from tidegrid.plans.catalog import CANON, HOURLY, LOAD, USER_HOURLY, WEATHER, i, n, query, r, t
 from tidegrid.schemas import WEATHER_DOC
 from tidegrid.session import scratch_path
 from tidegrid.sources import bronze, layers, sinks
@@ -154,6 +154,64 @@ def flows_wide(spark, d):
     return rows.select("datetime", *[f"flow_{k}_mw" for k in KINDS])
 
 
+# Several documents per file: one series per user, all users of a day landing in the same files
+
+_ZONES = f"""{USER_HOURLY}, zoned AS (SELECT user_id::VARCHAR AS zone, datetime, total, mean FROM user_hourly)"""
+
+
+def zoned_docs(spark, d, source: str) -> DataFrame:
+    hours = tables.hourly(spark, d, ["user_id"]).select(_text("user_id").alias("zone"), "datetime", "total", "mean")
+    dated = sinks.with_partition_cols(hours, "datetime")
+    if source == "weather":
+        record = F.struct(F.date_format("datetime", "HH:mm:ss").alias("datetime"), _text("total").alias("temp"), _text("mean").alias("humidity"))
+        docs = dated.groupBy("year", "month", "day", F.col("zone").alias("address")).agg(F.sort_array(F.collect_list(record)).alias("h"))
+        day = F.struct(F.concat_ws("-", "year", "month", "day").alias("datetime"), F.col("h").alias("hours"))
+        return docs.select("year", "month", "day", "address", F.array(day).alias("days"))
+    record = F.struct(iso(), _text("total").alias("value"))
+    return dated.groupBy("year", "month", "day", "zone").agg(F.sort_array(F.collect_list(record)).alias("data"))
+
+
+@query(
+    "flatten_weather_zones",
+    f"WITH {_ZONES} SELECT zone AS address, {t('datetime')}, {r('total', 'temperature')}, {r('mean', 'humidity')} FROM zoned",
+)
+def flatten_weather_zones(spark, d):
+    root = landed(spark, zoned_docs(spark, d, "weather").coalesce(4), "weather")
+    good, _ = quality.check_payload(bronze.read_bronze(spark, root, "weather"), "weather")
+    rows = flatten.flatten_weather(good, ["query_date", "address"])
+    return flatten.select_weather(rows, ["address"], "double").select("address", "datetime", "temperature", "humidity")
+
+
+@query(
+    "flatten_electricity_zones",
+    f"WITH {_ZONES} SELECT zone, {t('datetime + INTERVAL 7 HOUR', 'datetime')}, {r('total', 'total_load')} FROM zoned",
+)
+def flatten_electricity_zones(spark, d):
+    root = landed(spark, zoned_docs(spark, d, "electricity").coalesce(4), "electricity", "total_load")
+    docs = bronze.read_bronze(spark, root, "electricity", "total_load")
+    return flatten.select_electricity(flatten.flatten_electricity(docs), ["zone"], "double")
+
+
+@query("quarantine_documents", f"WITH {LOAD}, k AS (SELECT DISTINCT CAST(datetime AS DATE) AS day FROM load) SELECT 'unreadable' AS problem, {n('count(*)', 'documents')} FROM k WHERE date_part('day', day) % 2 = 0 HAVING count(*) > 0 UNION ALL SELECT 'good', {n('count(*)', 'documents')} FROM k")
+def quarantine_documents(spark, d):
+    """Every even day a cut-off document lands beside the good one; all of them are stored with their text."""
+    root = landed(spark, load_docs(spark, d), "electricity", "total_load")
+    days = tables.load(spark, d).select(F.to_date("datetime").alias("datetime")).distinct().where(F.day("datetime") % 2 == 0)
+    broken = sinks.with_partition_cols(days).select("year", "month", "day", F.lit('{"zone": "Z", "data": [{"datetime": "2024').alias("value"))
+    path = f"{root}/electricity/total_load"
+    broken.write.mode("append").partitionBy("year", "month", "day").option("compression", "none").text(f"{root}/texts")
+    for row in broken.select("year", "month", "day").collect():  # one directory per day
+        place = f"year={row.year}/month={row.month}/day={row.day}"
+        files = spark.read.text(f"{root}/texts/{place}")
+        files.write.mode("append").format("text").save(f"{path}/{place}")
+    kept = scratch_path(spark, "quarantine")
+    docs = bronze.read_bronze(spark, root, "electricity", "total_load")
+    jobs.keep_bad(docs, "electricity", kept)
+    good, _ = quality.check_payload(docs, "electricity")
+    bad = spark.read.parquet(kept).where("text IS NOT NULL").groupBy("problem").agg(F.count("*").alias("documents"))
+    return bad.unionByName(good.agg(F.lit("good").alias("problem"), F.count("*").alias("documents")))
+
+
 # Hour slices
 
 
@@ -185,7 +243,7 @@ def slice_hour_electricity(spark, d):
 @query("compact_docs_weather", f"WITH {WEATHER} {_WEATHER_SQL}")
 def compact_docs_weather(spark, d):
     root = landed(spark, weather_docs(tables.weather(spark, d), ["hour"]), "weather", by=["day", "hour"])
-    docs = bronze.read_bronze(spark, root, "weather").drop("hour")
+    docs = bronze.read_bronze(spark, root, "weather", granularity="hourly").drop("hour")
     days = compaction.compact_weather_docs(docs)
     return flatten.select_weather(flatten.flatten_weather(days, ["query_date"]), kind="double")
 
@@ -270,7 +328,10 @@ def compact_month(spark, d):
     now = rows.agg(F.max("datetime")).first()[0]
     daily, monthly = scratch_path(spark, "daily"), scratch_path(spark, "monthly")
     sinks.write_layer(rows, daily, tasks=spark.sparkContext.defaultParallelism)
-    compaction.compact_month(spark, daily, monthly, now, ["o_orderkey"])
+    # Orders are rows, not series: a month needs all its days, not all its orders every day.
+    compaction.compact_month(spark, daily, monthly, now, ["o_orderkey"], series=[])
+    if not sinks.path_exists(spark, monthly):  # no month is complete
+        return spark.createDataFrame([], "o_orderkey long, year string, month string")
     return layers.read_layer(spark, monthly).select("o_orderkey", "year", "month")
 
 
@@ -357,9 +418,7 @@ def read_predictions(spark, d):
     root = scratch_path(spark, "predictions")
     single.write.json(f"{root}/single")
     arrays.write.json(f"{root}/arrays")
-    docs = spark.read.schema(layers.PREDICTION_ANY).option("recursiveFileLookup", True).json(root)
-    read = layers.normalise_predictions(docs)
-    return read.select("datetime", "predicted", "confidence_lower", "confidence_upper")
+    return layers.read_predictions(spark, root).select("datetime", "predicted", "confidence_lower", "confidence_upper")
 
 
 # Jobs
@@ -376,8 +435,12 @@ def _bronze_lake(spark, d, by=("day",)) -> str:
 
 # The load documents are UTC and move by seven hours, the weather documents are local and stay.
 _SHIFTED = f"""{WEATHER}, {LOAD},
-gold AS (SELECT w.datetime, l.total_load::FLOAT::DOUBLE AS electricity_demand, w.humidity::FLOAT::DOUBLE AS humidity
-  FROM weather w JOIN load l ON w.datetime = l.datetime + INTERVAL 7 HOUR)"""
+gold AS (SELECT w.datetime, l.total_load::FLOAT::DOUBLE AS electricity_demand,
+    {', '.join(f'w.{c}::FLOAT::DOUBLE AS {c}' for c in ('temperature', 'humidity', 'wind_speed', 'precipitation'))}
+  FROM weather w JOIN load l ON w.datetime = l.datetime + INTERVAL 7 HOUR),
+bounded AS (SELECT * REPLACE (CASE WHEN temperature BETWEEN -10 AND 60 THEN temperature END AS temperature,
+                              CASE WHEN electricity_demand >= 0 THEN electricity_demand END AS electricity_demand) FROM gold)"""
+_GOLD = ("electricity_demand", "temperature", "humidity", "wind_speed", "precipitation")
 
 
 @query(
@@ -393,15 +456,25 @@ def job_backfill(spark, d):
 
 @query(
     "job_hourly_increment",
-    f"""WITH {_SHIFTED} SELECT {t('g.datetime', 'datetime')}, {r('electricity_demand')} FROM gold g JOIN weather w ON w.datetime = g.datetime
-WHERE w.temperature IS NOT NULL""",
+    f"""WITH {_SHIFTED} SELECT {t('datetime')}, {', '.join(r(c) for c in _GOLD)} FROM bounded
+WHERE temperature IS NOT NULL AND electricity_demand IS NOT NULL""",
 )
 def job_hourly_increment(spark, d):
-    root = scratch_path(spark, "lake")
-    jobs.hourly_increment(
-        spark, _bronze_lake(spark, d), f"{root}/silver", f"{root}/gold", f"{root}/checkpoints", granularity="all"
-    )
-    return layers.load_canonical(spark, f"{root}/gold").select("datetime", "electricity_demand")
+    """Three arrivals: the load without its noon hours and off by one, all weather, then the whole load, late and corrected."""
+    root, lake = scratch_path(spark, "lake"), scratch_path(spark, "bronze")
+    load = tables.load(spark, d)
+    wrong = load.where(F.hour("datetime") != 12).withColumn("total_load", F.col("total_load") + 1.0)
+    record = F.struct(iso(), _text("total_load").alias("value"))
+    arrivals = [
+        ("electricity/total_load", signal_docs(wrong, "total_load", record, "data", [])),
+        ("weather", weather_docs(tables.weather(spark, d), [])),
+        ("electricity/total_load", load_docs(spark, d)),
+    ]
+    for place, docs in arrivals:
+        bronze.write_bronze(docs, f"{lake}/{place}")
+        if sinks.path_exists(spark, f"{lake}/weather"):
+            jobs.hourly_increment(spark, lake, f"{root}/silver", f"{root}/gold", f"{root}/checkpoints", granularity="daily")
+    return layers.load_canonical(spark, f"{root}/gold").select("datetime", *_GOLD)
 
 
 @query("job_slice_and_compact", f"WITH {LOAD} {_LOAD_SQL}")
@@ -414,12 +487,51 @@ def job_slice_and_compact(spark, d):
         "query_date", F.lpad(F.col("h").cast("string"), 2, "0").alias("hour")
     )
     jobs.slice_bronze(spark, lake, cut, units)
-    jobs.compact_bronze(spark, cut, whole, granularity="all")
-    docs = bronze.read_bronze(spark, whole, "electricity", "total_load")
+    jobs.compact_bronze(spark, cut, whole)
+    docs = bronze.read_bronze(spark, whole, "electricity", "total_load", "daily")
     rows = flatten.coerce_numeric(flatten.flatten_electricity(docs, keep=[]), ["value"], "double")
     return flatten.select_electricity(rows, kind="double")
 
 
+@query("job_slice_rerun", f"WITH {LOAD} SELECT {n('count(*)', 'documents')}, {n('count(*)', 'hours')} FROM load")
+def job_slice_rerun(spark, d):
+    """Slicing and compacting twice, the second time with one more day wanted: nothing doubles, nothing is lost."""
+    lake, cut, whole = _bronze_lake(spark, d), scratch_path(spark, "hours"), scratch_path(spark, "days")
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23)))
+    docs = bronze.read_bronze(spark, lake, "electricity", "total_load")
+    units = docs.select("query_date").distinct().select("query_date", hours.alias("h"))
+    units = units.select("query_date", F.lpad(F.col("h").cast("string"), 2, "0").alias("hour"))
+    first = units.where(F.col("query_date") != units.agg(F.max("query_date")).scalar())
+    for wanted in (first, units, units):
+        jobs.slice_bronze(spark, lake, cut, wanted)
+    jobs.compact_bronze(spark, cut, whole)
+    one = bronze.read_bronze(spark, cut, "electricity", "total_load", "hourly")
+    last = one.agg(F.max("query_date")).first()[0]
+    # One more compaction, of the last day only, leaves the other days alone.
+    jobs._land(compaction.compact_electricity_docs(one.where(F.col("query_date") == F.lit(last))), f"{whole}/electricity/total_load")
+    slices = one.agg(F.count("*").alias("documents"))
+    flat = flatten.flatten_electricity(bronze.read_bronze(spark, whole, "electricity", "total_load"), keep=[])
+    return slices.withColumn("hours", flat.agg(F.count("*").alias("c")).scalar())
+
+
+@query(
+    "keep_first_arrival",
+    f"""WITH {LOAD} SELECT {t('datetime + INTERVAL 7 HOUR', 'datetime')}, {r('total_load::FLOAT::DOUBLE', 'total_load')}, {r('(total_load - 1)::FLOAT::DOUBLE', 'latest')} FROM load""",
+)
+def keep_first_arrival(spark, d):
+    """Every hour lands three times: as it is, unreadable as a number, and smaller by one. The first stays; an upsert takes the last."""
+    root, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    for change in (F.col("total_load"), F.lit(None).cast("double"), F.col("total_load") - 1.0):
+        record = F.struct(iso(), _text("total_load").alias("value"))
+        docs = signal_docs(tables.load(spark, d).withColumn("total_load", change), "total_load", record, "data", [])
+        bronze.write_bronze(docs, f"{root}/electricity/total_load")
+    bronze.write_bronze(weather_docs(tables.weather(spark, d), []), f"{root}/weather")
+    jobs.bronze_to_silver(spark, root, silver)
+    jobs.hourly_increment(spark, root, f"{silver}-now", f"{silver}-gold", f"{silver}-seen", granularity="all")
+    latest = layers.read_layer(spark, f"{silver}-now/electricity").select("datetime", F.col("total_load").alias("latest"))
+    return layers.read_layer(spark, f"{silver}/electricity").select("datetime", "total_load").join(latest, "datetime")
+
+
 _SIX = f"""{WEATHER}, {HOURLY}, mix AS (SELECT datetime, {', '.join(f"max(total) FILTER (WHERE event_type = '{k}') AS mix_{k}_mw" for k in KINDS)} FROM hourly GROUP BY 1),
 load AS (SELECT datetime, total AS total_load FROM hourly WHERE event_type = 'purchase')"""
 
@@ -466,6 +578,7 @@ def job_daily_compaction(spark, d):
     hourly = quality.drop_null_critical(tables.canonical(spark, d))
     sinks.write_layer(hourly, f"{root}/hourly")
     newest = sinks.latest_partition(layers.read_layer(spark, f"{root}/hourly")).first()
+    jobs.silver_to_gold(spark, f"{root}/silver", f"{root}/daily")
     days = jobs.daily_compaction(spark, f"{root}/silver", f"{root}/daily", f"{root}/hourly", "-".join(newest))
     left = days.where(~F.col("retired")).agg(F.count(F.lit(1)).alias("c"))
     gold = layers.load_canonical(spark, f"{root}/daily").select("datetime", "electricity_demand")

@@ -518,23 +518,23 @@ def lag_features(spark, d):
 
 @query(
     "lag_features_users",
-    f"WITH {USER_HOURLY} SELECT {n('user_id')}, {t('datetime')}, {_lags('total', (1, 2, 3), 'PARTITION BY user_id')} FROM user_hourly",
+    f"WITH {USER_HOURLY} SELECT {n('user_id')}, {t('datetime')}, {_lags('total', windows.LAGS, 'PARTITION BY user_id')} FROM user_hourly",
 )
 def lag_features_users(spark, d):
     rows = tables.hourly(spark, d, ["user_id"]).select("user_id", "datetime", "total")
-    return windows.lag_features(rows, ["total"], (1, 2, 3), ["user_id"]).drop("total")
+    return windows.lag_features(rows, ["total"], keys=["user_id"]).drop("total")
 
 
 @query(
     "lag_features_time",
-    f"""WITH {HOURLY} SELECT a.event_type, {t('a.datetime', 'datetime')}, {r('b.total', 'total_lag_1')}, {r('c.total', 'total_lag_24')}, {r('e.total', 'total_lag_168')} FROM hourly a
-LEFT JOIN hourly b ON b.event_type = a.event_type AND b.datetime = a.datetime - INTERVAL 1 HOUR
-LEFT JOIN hourly c ON c.event_type = a.event_type AND c.datetime = a.datetime - INTERVAL 24 HOUR
-LEFT JOIN hourly e ON e.event_type = a.event_type AND e.datetime = a.datetime - INTERVAL 168 HOUR""",
+    f"WITH {HOURLY} SELECT a.event_type, {t('a.datetime', 'datetime')}, "
+    + ", ".join(r(f"l{k}.total", f"total_lag_{k}") for k in windows.LAGS)
+    + " FROM hourly a "
+    + " ".join(f"LEFT JOIN hourly l{k} ON l{k}.event_type = a.event_type AND l{k}.datetime = a.datetime - INTERVAL {k} HOUR" for k in windows.LAGS),
 )
 def lag_features_time(spark, d):
     rows = tables.hourly(spark, d).select(*KEY, "datetime", "total")
-    return windows.lag_features(rows, ["total"], (1, 24, 168), KEY, by="time").drop("total")
+    return windows.lag_features(rows, ["total"], keys=KEY, by="time").drop("total")
 
 
 @query(

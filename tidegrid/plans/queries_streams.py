@@ -18,21 +18,24 @@ from tidegrid.streaming import hourly as st
 
 KEY = ["event_type"]
 RETENTION = "40 days"
+LAGS, WINDOWS = (1, 2, 3, 24, 168), (3, 6, 12, 24)
 
 
-def as_stream(spark: SparkSession, rows: DataFrame, ts: str = "datetime", days_per_file: int = 5) -> DataFrame:
-    """Rows stored in files of a few days each, read back as a stream, one file per micro-batch."""
-    root = scratch_path(spark, "arrivals")
-    block = F.floor(F.day(ts) / days_per_file).cast("int").alias("block")
-    # Landed one after the other, so that the stream sees them in order of time.
-    stored = rows.withColumn("block", block).repartition(1, "block")
-    stored.write.partitionBy("block").parquet(root)
-    schema = rows.schema
-    parts = sorted(r["block"] for r in stored.select("block").distinct().collect())
-    flat = scratch_path(spark, "stream")
-    for part in parts:
-        spark.read.schema(schema).parquet(f"{root}/block={part}").coalesce(1).write.mode("append").parquet(flat)
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(flat)
+def as_stream(spark: SparkSession, rows: DataFrame, ts: str = "datetime", days: int = 5) -> DataFrame:
+    """Rows as a stream, in order of time: runs of ``days`` days, each in as many files as there are tasks.
+
+    A micro-batch takes the files of one run. Files are read oldest first, and a run is written when the one before it is
+    complete, so no batch mixes early and late runs.
+    """
+    root, flat = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
+    run = F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / days).alias("run")
+    width = spark.sparkContext.defaultParallelism
+    rows.select("*", run).repartition(width, "run", F.xxhash64(*rows.columns)).write.partitionBy("run").parquet(root)
+    runs = sorted(r["run"] for r in spark.read.parquet(root).select("run").distinct().collect())  # the calendar bounds them
+    for each in runs:
+        part = spark.read.schema(rows.schema).parquet(f"{root}/run={each}")
+        part.repartition(width).write.mode("append").parquet(flat)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", width).parquet(flat)
 
 
 def finished(spark: SparkSession, df: DataFrame, schema=None) -> DataFrame:
@@ -100,7 +103,7 @@ def stream_day_status(spark, d):
 
 def _stream_rolling_sql() -> str:
     parts = []
-    for w in (3, 6):
+    for w in WINDOWS:
         over = f"(PARTITION BY event_type ORDER BY datetime RANGE BETWEEN INTERVAL '{w - 1} hours' PRECEDING AND CURRENT ROW)"
         parts.append(
             f"SELECT event_type, datetime, {w} AS window, avg(total) OVER {over} AS m, stddev_samp(total) OVER {over} AS s, "
@@ -114,24 +117,29 @@ WHERE c = "window" AND datetime + INTERVAL 1 HOUR <= last - INTERVAL 2 HOUR"""
 @query("stream_rolling", _stream_rolling_sql())
 def stream_rolling(spark, d):
     rows = as_stream(spark, tables.hourly(spark, d).select(*KEY, "datetime", "total"))
-    return finished(spark, st.stream_rolling(rows, "total", (3, 6), KEY))
+    return finished(spark, st.stream_rolling(rows, "total", WINDOWS, KEY))
 
 
 _LAGS = "\n".join(
-    f"LEFT JOIN hourly l{k} ON l{k}.event_type = a.event_type AND l{k}.datetime = a.datetime - INTERVAL {k} HOUR" for k in (1, 24, 168)
+    f"LEFT JOIN hourly l{k} ON l{k}.event_type = a.event_type AND l{k}.datetime = a.datetime - INTERVAL {k} HOUR" for k in LAGS
 )
-_OVER = "(PARTITION BY event_type ORDER BY datetime RANGE BETWEEN INTERVAL '2 hours' PRECEDING AND CURRENT ROW)"
+def _over(w: int) -> str:
+    return f"(PARTITION BY event_type ORDER BY datetime RANGE BETWEEN INTERVAL '{w - 1} hours' PRECEDING AND CURRENT ROW)"
+
+
+_STATS = ", ".join(f"count(total) OVER {_over(w)} AS c{w}, avg(total) OVER {_over(w)} AS m{w}, stddev_samp(total) OVER {_over(w)} AS s{w}" for w in WINDOWS)
+_ROLLED = ", ".join(r(f"CASE WHEN c{w} = {w} THEN {v}{w} END", f"total_rolling_{name}_{w}") for w in WINDOWS for v, name in (("m", "mean"), ("s", "std")))
 
 
 @query(
     "stream_features",
-    f"""WITH {HOURLY}, x AS (SELECT *, count(total) OVER {_OVER} AS c, avg(total) OVER {_OVER} AS m, stddev_samp(total) OVER {_OVER} AS s FROM hourly)
-SELECT a.event_type, {t('a.datetime', 'datetime')}, {r('a.total', 'total')}, {', '.join(r(f'l{k}.total', f'total_lag_{k}') for k in (1, 24, 168))},
-{r('CASE WHEN c = 3 THEN m END', 'total_rolling_mean_3')}, {r('CASE WHEN c = 3 THEN s END', 'total_rolling_std_3')} FROM x a {_LAGS}""",
+    f"""WITH {HOURLY}, x AS (SELECT *, {_STATS} FROM hourly)
+SELECT a.event_type, {t('a.datetime', 'datetime')}, {r('a.total', 'total')}, {', '.join(r(f'l{k}.total', f'total_lag_{k}') for k in LAGS)},
+{_ROLLED} FROM x a {_LAGS}""",
 )
 def stream_features(spark, d):
     rows = as_stream(spark, tables.hourly(spark, d).select(*KEY, "datetime", "total"))
-    return finished(spark, stateful.stream_features(rows, "total", KEY, lags=(1, 24, 168), windows=(3,)))
+    return finished(spark, stateful.stream_features(rows, "total", KEY, lags=LAGS, windows=WINDOWS))
 
 
 @query(

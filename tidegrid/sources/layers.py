@@ -7,8 +7,9 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.operators.quality import between, dedup_first
+from tidegrid.operators.quality import between, dedup_first, fullest
 from tidegrid.schemas import PREDICTION_ANY, REGISTRY
+from tidegrid.sources.bronze import scan_documents
 
 PARTS = ("year", "month", "day")
 
@@ -71,8 +72,8 @@ def load_recent(
     if daily is not None:
         rows = rows.unionByName(bounded(daily).withColumn("__rank", F.lit(1)), allowMissingColumns=True)
     columns = [c for c in rows.columns if c != "__rank"]
-    rest = [F.col(c) for c in columns if c not in (*keys, ts)]
-    return dedup_first(rows, keys, ts, ["__rank", *rest]).select(*columns)
+    rest = [c for c in columns if c not in (*keys, ts)]
+    return dedup_first(rows, keys, ts, ["__rank", *fullest(rest)]).select(*columns)
 
 
 def recent_days(df: DataFrame, now: datetime | str, days: int = 30, ts: str = "datetime") -> DataFrame:
@@ -88,8 +89,7 @@ def read_silver(spark: SparkSession, root: str, signals: Sequence[str], fmt: str
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Prediction documents of either layout as one row per predicted hour."""
-    docs = spark.read.schema(PREDICTION_ANY).option("multiLine", True).option("recursiveFileLookup", True).json(path)
-    return normalise_predictions(docs)
+    return normalise_predictions(scan_documents(lambda: spark.read.option("recursiveFileLookup", True), path, PREDICTION_ANY))
 
 
 def normalise_predictions(docs: DataFrame) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.operators.compaction import union_dedup
 from tidegrid.operators.flatten import (
+    POSITION,
     WEATHER_NAMES,
     coerce_numeric,
     flatten_electricity,
@@ -16,9 +17,9 @@ from tidegrid.operators.flatten import (
     select_electricity,
     select_weather,
 )
-from tidegrid.operators.quality import dedup_first, payload_problem
-from tidegrid.schemas import WEATHER_DOC, electricity_doc
-from tidegrid.sources.bronze import GLOBS, PARTS, query_date
+from tidegrid.operators.quality import dedup_first, fullest, payload_problem
+from tidegrid.schemas import CORRUPT, WEATHER_DOC, electricity_doc
+from tidegrid.sources.bronze import ARRIVED, FILE_NAME, PARTS, query_date, scan_documents
 from tidegrid.sources.layers import read_layer
 from tidegrid.sources.sinks import LEVELS, path_exists, replace_partitions, with_partition_cols
 
@@ -41,28 +42,31 @@ def read_bronze_stream(
     files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Newly landed documents, each file once (the checkpoint remembers what was read)."""
-    from pyspark.sql import types as T
-
     doc = WEATHER_DOC if source == "weather" else electricity_doc(signal)
     path = "/".join(p for p in (root.rstrip("/"), source, signal) if p)
-    reader = (
-        spark.readStream.schema(T.StructType(doc.fields + PARTS.fields))
-        .option("multiLine", True)
-        .option("basePath", path)
-        .option("pathGlobFilter", GLOBS[granularity])
-    )
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path).withColumn("query_date", query_date())
+    schema = T.StructType(doc.fields + PARTS.fields).add(CORRUPT, T.StringType())
+
+    def reader():
+        options = {"basePath": path, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        made = spark.readStream.options(**options)
+        return made.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else made
+
+    return scan_documents(reader, path, schema, granularity).withColumn("query_date", query_date())
+
+
+#: What tells rows of the same hour apart: when their file arrived, its name, their place in the document.
+ARRIVAL = (ARRIVED, FILE_NAME, POSITION)
 
 
-def silver_rows(docs: DataFrame, source: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Documents to typed silver rows; the same expressions serve batch and stream."""
+def silver_rows(docs: DataFrame, source: str, keys: Sequence[str] = (), arrival: bool = False) -> DataFrame:
+    """Documents to typed silver rows, with ``arrival`` also the columns ARRIVAL; the same for batch and stream."""
     good = docs.where(payload_problem(source).isNull())
+    keep = ("query_date", *keys, *([ARRIVED, FILE_NAME] if arrival else []))
+    own = [*keys, *(ARRIVAL if arrival else [])]
     if source == "weather":
-        rows = coerce_numeric(flatten_weather(good, ("query_date", *keys)), list(WEATHER_NAMES))
-        return select_weather(rows, keys)
-    return select_electricity(coerce_numeric(flatten_electricity(good, keep=("query_date", *keys)), ["value"]), keys)
+        rows = coerce_numeric(flatten_weather(good, keep), list(WEATHER_NAMES))
+        return select_weather(rows, own)
+    return select_electricity(coerce_numeric(flatten_electricity(good, keep=keep), ["value"]), own)
 
 
 def stream_silver(
@@ -167,12 +171,13 @@ def upsert(
 ) -> None:
     """Merge a batch into a day-partitioned table: a batch row replaces the stored row of its (keys, ts).
 
+    ``order`` ranks rows of one (keys, ts) within the batch, first wins; without it the fullest row does.
     Only the day directories the batch touches are read and rewritten. Repeating a batch changes nothing.
     """
     spark = batch.sparkSession
     columns = [c for c in batch.columns if c not in order]
     rest = [c for c in columns if c not in (*keys, ts)]
-    fresh = dedup_first(batch, keys, ts, [*order, *rest]).select(*columns)
+    fresh = dedup_first(batch, keys, ts, order or fullest(rest)).select(*columns)
     rows = with_partition_cols(fresh, ts)
     if path_exists(spark, out):
         stored = read_layer(spark, out)
