@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.session import cut_lineage as stored  # noqa: F401  (Parquet in the shared folder)
+from tidegrid.session import scratch_path
 
 #: A key is heavy when it holds more than one in HEAVY of all rows, so there are at most HEAVY of them.
 HEAVY = 1000
@@ -25,8 +25,19 @@ WORD_BYTES = bytes(
 )
 
 
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written as Parquet to the shared folder and read back: later passes survive lost executors.
+
+    Packed by zstd: its buffers are on the heap, where the many small files of a stage leave none behind.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Bytes of one Arrow batch between the JVM and Python; a longer row is a batch of its own.
-BATCH_BYTES = 24_000_000
+BATCH_BYTES = 8_000_000
 
 
 def map_batches(rows: DataFrame, run, schema) -> DataFrame:

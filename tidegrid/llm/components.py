@@ -27,3 +27,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("key", "label")
         if new.where("label != was").isEmpty():
             return labels
+
+
+def joined(labels: DataFrame, edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Labels of the components that ``labels`` and further ``edges`` make together; only the new links are gone over."""
+    at = lambda side: labels.select(F.col("key").alias(side), F.col("label").alias(f"{side}_label"))
+    ends = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).join(at("a"), "a", "left").join(at("b"), "b", "left")
+    links = stored(ends.select("a", "b", F.coalesce("a_label", "a").alias("u"), F.coalesce("b_label", "b").alias("v")))
+    moved = components(links, "u", "v").withColumnRenamed("label", "onward").withColumnRenamed("key", "label")
+    lone = links.select(F.col("a").alias("key"), F.col("u").alias("label")).union(links.select("b", "v")).where("key = label")
+    known = labels.unionByName(lone.distinct().join(labels, "key", "left_anti"))
+    return stored(known.join(moved, "label", "left").select("key", F.coalesce("onward", "label").alias("label")))

@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegrid.llm.common import chunks, having, join_groups, map_batches, mix, ramps, shingle_hashes, stored, without, word_hashes, words
-from tidegrid.llm.components import components
+from tidegrid.llm.components import components, joined
 
 WIDTH = 5  # words of a shingle
 SIMILAR = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 misses all bands with a chance of 3 in 100,000
 POISSON = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)])
-CHUNK = 2_000_000
-CHUNK_DOCS = 1_000
+CHUNK = 1_000_000
+CHUNK_DOCS = 400
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -159,41 +159,48 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
 def links(docs: DataFrame, text: str = "text", width: int = WIDTH, similar: float = SIMILAR, counted: bool = False, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Components of distinct texts (``key``, ``label``) linked by similarity; texts without a link are left out.
 
-    Texts that share a bucket are candidates. First each is compared with one leader of its bucket. Buckets whose texts
+    Texts that share a bucket are candidates. First each is compared with the leader of its bucket, the text that shares
+    the most buckets with others. Buckets whose texts
     are then one component are settled: no further link can matter. In the others more and more leaders, in the end all,
     are compared with the texts of other components, so no candidate is lost, however large a bucket is, and a bucket of
     copies costs no more than its size.
     """
     signed = stored(band_rows(docs, text, width, counted, bands, rows))
     members = signed.select("key", F.explode("bands").alias("bucket"))
-    turn = F.xxhash64("key", "bucket")
-    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("key", turn).alias("leader")).where("n > 1"))
+    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     members = stored(join_groups(members, buckets, "bucket", "n", "inner"))
+    # An original shares more buckets with its copies than these do among themselves, so it leads all that it is in.
+    company = members.groupBy("key").agg(F.sum("n").alias("company"))
+    best = F.max_by("key", F.struct("company", "key")).alias("leader")
+    leading = stored(members.join(company, "key").groupBy("bucket").agg(best, F.max("n").alias("n")))
+    met = join_groups(members.select("bucket", "key"), leading, "bucket", "n", "inner")
     sets = stored(shingle_rows(docs, stored(members.select("key").distinct()), text, width, counted))
 
     def ordered(x: str, y: str) -> tuple[Column, Column]:
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
-    tested = stored(members.where("key != leader").select(*ordered("leader", "key")).distinct())
-    edges = stored(verified(tested, sets, similar))
+    tested = stored(met.where("key != leader").select(*ordered("leader", "key")).distinct())
+    labels = components(verified(tested, sets, similar))
     leaders = 8
     while True:
-        labels = components(edges)
-        placed = members.join(labels, "key", "left").select("bucket", "key", "n", F.coalesce("label", "key").alias("label"))
-        placed = stored(placed)
+        placed = stored(members.join(labels, "key", "left").select("bucket", "key", "n", F.coalesce("label", "key").alias("label")))
         open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket")
-        rest = stored(placed.join(open_, "bucket", "left_semi"))
         share = F.pmod(F.xxhash64("key", "bucket"), F.lit(2**20)) * F.col("n") < F.lit(leaders * 2**20)
-        heads = rest.where(share).select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"))
-        # Rows meet the few leaders of their bucket; those of the same component are left out at once.
-        met = rest.join(heads, "bucket").where("label != head_label").select(*ordered("head", "key")).distinct()
-        fresh = stored(met.join(tested, ["a", "b"], "left_anti"))
+        rest = placed.join(open_, "bucket", "left_semi").withColumn("leads", share)
+        # Two texts meet in the first of the buckets that they share, and there once.
+        rest = stored(rest.join(signed, "key"))
+        heads = rest.where("leads").select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"), F.col("bands").alias("head_bands"))
+        first = F.col("r.bucket") == F.array_min(F.array_intersect("bands", "head_bands"))
+        new = (F.col("label") != F.col("head_label")) & ((F.col("head") < F.col("key")) | ~F.col("leads"))
+        met = rest.alias("r").join(heads.alias("h"), (F.col("r.bucket") == F.col("h.bucket")) & new & first)
+        fresh = stored(met.select(*ordered("head", "key")).join(tested, ["a", "b"], "left_anti"))
         found = stored(verified(fresh, sets, similar))
-        edges = stored(edges.union(found))
-        tested = stored(tested.union(fresh))
+        if not found.isEmpty():
+            labels = joined(labels, found)
+        tested = tested.union(fresh)
         most = rest.agg(F.max("n")).first()[0] or 0
         if leaders >= most:
-            return components(edges) if not found.isEmpty() else labels
+            return labels
         leaders *= 16
 
 
