@@ -12,13 +12,15 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidegrid.llm.common import chunks, map_batches, stored
+from tidegrid.llm.common import chunks, map_batches, ramps, stored
 from tidegrid.llm.eliasfano import EliasFano
 from tidegrid.llm.pieces import Pieces, Ragged
 from tidegrid.llm.warc import filesystem
@@ -26,8 +28,10 @@ from tidegrid.llm.warc import filesystem
 HEAD = "<4sBQ"
 MARK = b"TGI1"
 MANIFEST = "shard int, n_docs bigint, n_tokens bigint"
-#: Distinct pieces that a task remembers; beyond that it starts again.
-REMEMBERED = 1_000_000
+#: Distinct pieces that a worker remembers, also from task to task; beyond that it starts again.
+REMEMBERED = 500_000
+#: Pieces given to the library as one text, and such texts at a time.
+JOINED, ASKED = 100, 200
 READ = 4_000_000
 
 
@@ -40,26 +44,63 @@ class Encoder:
 
         self.model = Tokenizer.from_file(tokenizer)
         self.model.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.model.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():  # a character of a token stands for one byte
+            self.bytes_of[number] = len(token)
         self.clear()
 
     def clear(self) -> None:
         self.pieces, self.ids = Pieces(), Ragged(np.uint32)
 
+    def library(self, texts: list[str]) -> list[list[int]]:
+        steps = range(0, len(texts), ASKED)
+        return [e.ids for k in steps for e in self.model.encode_batch_fast(texts[k : k + ASKED], add_special_tokens=False)]
+
+    def ask(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces behind each other, and their number for each.
+
+        Pieces of a space and a word, with no white space at their end, are given to the library as one text: it begins a
+        new word at each such space. Ids stand for known numbers of bytes, which tell where each piece ends.
+        """
+        plain = [k for k, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
+        odd = sorted(set(range(len(pieces))) - set(plain))
+        words = [pieces[k] for k in plain]
+        ids = np.fromiter(chain.from_iterable(self.library(["".join(words[k : k + JOINED]) for k in range(0, len(words), JOINED)])), np.int64)
+        stops = np.cumsum(np.fromiter((len(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words)))
+        ends = np.cumsum(self.bytes_of[ids])
+        upto = np.searchsorted(ends, stops)
+        if len(words) and (len(ids) != upto[-1] + 1 or (ends[upto] != stops).any()):
+            raise ValueError("the tokenizer does not begin a new word at a space")
+        alone = self.library([pieces[k] for k in odd])
+        n = np.zeros(len(pieces), np.int64)
+        n[plain] = np.diff(upto + 1, prepend=0)
+        n[odd] = np.fromiter(map(len, alone), np.int64, len(alone))
+        flat, starts = np.zeros(n.sum(), np.uint32), np.cumsum(n) - n
+        flat[np.repeat(starts[plain], n[plain]) + ramps(n[plain])] = ids
+        flat[np.repeat(starts[odd], n[odd]) + ramps(n[odd])] = np.fromiter(chain.from_iterable(alone), np.uint32)
+        return flat, n
+
     def encode(self, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts behind each other, ``end`` after each, and the number of ids of each with it."""
         if len(self.pieces) > REMEMBERED:
             self.clear()
         rows = [self.pieces.numbers(t or "") for t in texts]
-        fresh = self.model.encode_batch_fast(self.pieces.texts[len(self.ids.length) :], add_special_tokens=False)
-        found = [e.ids for e in fresh]
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32)
-        self.ids.extend(flat, np.fromiter(map(len, found), np.int64, len(found)))
+        fresh = self.pieces.texts[len(self.ids.length) :]
+        if fresh:
+            self.ids.extend(*self.ask(fresh))
         n_pieces = np.fromiter(map(len, rows), np.int64, len(rows))
-        ids, n = self.ids.take(np.fromiter((p for r in rows for p in r), np.int64, int(n_pieces.sum())))
+        ids, n = self.ids.take(np.fromiter(chain.from_iterable(rows), np.int64, int(n_pieces.sum())))
         ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(n_pieces)]
         return np.insert(ids, ends, end), np.diff(ends, prepend=0) + 1
 
 
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer: str) -> Encoder:
+    """One encoder for all tasks that a worker runs."""
+    return Encoder(tokenizer)
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, end: int = 0, id: str = "doc_id", text: str = "text", shards: int | None = None
 ) -> DataFrame:
@@ -73,10 +114,10 @@ def write_token_files(
     width = 2 if _largest(tokenizer, end) < 2**16 else 4
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encoder = TaskContext.get().partitionId(), Encoder(tokenizer)
+        shard, encoder = TaskContext.get().partitionId(), encoder_of(tokenizer)
         fs, root = filesystem(path)
         own, doc_ids, lengths, out = uuid.uuid4().hex, [], [], None
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", 4_000_000):
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/_{own}.ids")
