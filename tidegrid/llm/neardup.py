@@ -21,6 +21,8 @@ WIDTH = 5  # words of a shingle
 SIMILAR = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 misses all bands with a chance of 3 in 100,000
 POISSON = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)])
+#: Candidates whose signatures agree in less than SIMILAR - SLACK of the coordinates are not verified: at 0.8, 1 in 100,000.
+SLACK = 0.2
 CHUNK = 1_000_000
 CHUNK_DOCS = 400
 
@@ -114,7 +116,7 @@ def small_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def band_rows(docs: DataFrame, text: str, width: int, counted: bool, bands: int, rows: int) -> DataFrame:
-    """``key`` of each distinct text with words, and the hash of each band of its signature."""
+    """``key`` of each distinct text with words, its signature (32 bits a dart) and the hash of each band of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_chunks(batches):
@@ -126,11 +128,13 @@ def band_rows(docs: DataFrame, text: str, width: int, counted: bool, bands: int,
             some = n > 0
             values = pa.array(hashed[some].ravel().view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(some.sum() + 1) * bands, pa.int32()), values)
-            yield pa.RecordBatch.from_pydict({"key": batch.column("key").filter(pa.array(some)), "bands": lists})
+            marks = pa.array((signed[some] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32).ravel())
+            signature = pa.ListArray.from_arrays(pa.array(np.arange(some.sum() + 1) * bands * rows, pa.int32()), marks)
+            yield pa.RecordBatch.from_pydict({"key": batch.column("key").filter(pa.array(some)), "bands": lists, "signature": signature})
 
     keyed = docs.select(text_key(text).alias("key"), F.col(text).alias("text"))
-    signed = map_batches(keyed, run, "key binary, bands array<bigint>")
-    return signed.groupBy("key").agg(F.first("bands").alias("bands"))
+    signed = map_batches(keyed, run, "key binary, bands array<bigint>, signature array<int>")
+    return signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("signature").alias("signature"))
 
 
 def shingle_rows(docs: DataFrame, keys: DataFrame, text: str, width: int, counted: bool) -> DataFrame:
@@ -189,10 +193,12 @@ def links(docs: DataFrame, text: str = "text", width: int = WIDTH, similar: floa
         rest = placed.join(open_, "bucket", "left_semi").withColumn("leads", share)
         # Two texts meet in the first of the buckets that they share, and there once.
         rest = stored(rest.join(signed, "key"))
-        heads = rest.where("leads").select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"), F.col("bands").alias("head_bands"))
+        heads = rest.where("leads").select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"), F.col("bands").alias("head_bands"), F.col("signature").alias("head_signature"))
+        agree = F.size(F.filter(F.zip_with("signature", "head_signature", lambda x, y: x == y), lambda same: same))
+        near = agree >= F.lit(int((similar - SLACK) * bands * rows))
         first = F.col("r.bucket") == F.array_min(F.array_intersect("bands", "head_bands"))
         new = (F.col("label") != F.col("head_label")) & ((F.col("head") < F.col("key")) | ~F.col("leads"))
-        met = rest.alias("r").join(heads.alias("h"), (F.col("r.bucket") == F.col("h.bucket")) & new & first)
+        met = rest.alias("r").join(heads.alias("h"), (F.col("r.bucket") == F.col("h.bucket")) & new & first & near)
         fresh = stored(met.select(*ordered("head", "key")).join(tested, ["a", "b"], "left_anti"))
         found = stored(verified(fresh, sets, similar))
         if not found.isEmpty():
