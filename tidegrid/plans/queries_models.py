@@ -21,9 +21,10 @@ from tidegrid.session import cut_lineage, scratch_path
 from tidegrid.sources import layers
 
 KEY = ["event_type"]
-# Shorter looks back than the default leave more rows of a one-month table; the trees are shallow for the same reason.
-CONFIG = FeatureConfig(lags=(1, 2, 3, 24), windows=(3, 24))
-PARAMS = {"maxIter": 10, "maxDepth": 4}
+# The library's documented lags, windows, hyperparameters and forecast steps.
+CONFIG = FeatureConfig()
+PARAMS = dict(training.TREE_PARAMS)
+STEPS = range(1, 25)
 
 
 def series(spark: SparkSession, d: str) -> DataFrame:
@@ -94,20 +95,20 @@ def predict_with_metadata(spark, d):
 @query("cross_validate")
 def cross_validate(spark, d):
     view, names = _rows(spark, d)
-    return tuning.cross_validate(view, names, {"maxIter": 5, "maxDepth": 3}, 5, KEY)[1]
+    return tuning.cross_validate(view, names, PARAMS, 5, KEY)[1]
 
 
 @query("grid_search")
 def grid_search(spark, d):
     view, names = _rows(spark, d)
-    trials = tuning.grid_search(view, names, {"maxDepth": [2, 3], "maxIter": [3, 5]})
+    trials = tuning.grid_search(view, names, {"maxDepth": [4, 6], "stepSize": [0.05, 0.1]})
     return trials.select("trial", F.col("params").cast("string").alias("params"), "score")
 
 
 @query("random_search")
 def random_search(spark, d):
     view, names = _rows(spark, d)
-    trials = tuning.random_search(view, names, {"maxDepth": (2, 4), "stepSize": (0.05, 0.3), "maxIter": [3, 5]}, 3)
+    trials = tuning.random_search(view, names, {"maxDepth": (2, 6), "stepSize": (0.05, 0.3)})
     return trials.select("trial", F.col("params").cast("string").alias("params"), "score")
 
 
@@ -123,7 +124,7 @@ def forecast_next(spark, d):
 @query("forecast_horizon")
 def forecast_horizon(spark, d):
     whole = cut_lineage(series(spark, d))
-    models = fc.fit_by_step(whole, (1, 24), CONFIG, keys=KEY, params={"maxIter": 5, "maxDepth": 3})
+    models = fc.fit_by_step(whole, STEPS, CONFIG, keys=KEY, params=PARAMS)
     end = whole.agg(F.max("datetime")).first()[0]
     return fc.forecast_horizon(layers.load_recent(whole, None, end, 192, KEY), models, CONFIG, KEY)
 
