@@ -8,10 +8,12 @@ proposals that they refuse and near misses (a wrong check digit, an impossible p
 
 from __future__ import annotations
 
+import logging
 import random
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +21,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tidegrid.llm import boosting
-from tidegrid.llm.common import chunks, map_batches
+from tidegrid.llm.common import chunks, map_batches, stored
 
 KINDS = ("email", "ip", "card", "phone")
-#: The trees are trained on at most so many documents, those with the smallest hashed ids.
+#: The trees are trained on at most so many documents, an eighth for each kind with a base match and with another proposal.
 MAX_TRAIN = 4_000
 THRESHOLD = 0.9
 NEAR = 24  # characters of context on either side
@@ -194,12 +196,34 @@ def examples(texts: list[str]) -> list[tuple[str, float, list[float]]]:
 
 
 def train(docs: DataFrame, max_train: int = MAX_TRAIN, id: str = "doc_id", text: str = "text") -> dict[str, boosting.Trees]:
-    """Calibrated trees by kind; a kind without enough examples of either sort has none and adds nothing.
+    """Calibrated trees by kind; a kind without enough examples of either sort in all of ``docs`` has none, which is logged.
 
-    At most ``max_train`` documents are looked at, so what is broadcast and collected is bounded. Null ids are left out.
+    At most ``max_train`` documents are learnt from, so what is broadcast and collected is bounded: for each kind those with
+    the smallest hashed ids among all that have a base match of it, and among all that have another proposal. Null ids are
+    left out.
     """
-    ids = docs.select(F.col(id).alias("_tg_id")).where("_tg_id IS NOT NULL").distinct().orderBy(F.xxhash64("_tg_id"), "_tg_id").limit(max_train)
-    texts = docs.select(F.col(id).alias("_tg_id"), F.col(text).alias("text")).join(F.broadcast(ids), "_tg_id").select("text")
+    named = docs.select(F.col(id).alias("_tg_id"), F.col(text).alias("text")).where("_tg_id IS NOT NULL")
+    flags = [f"{sort}_{k}" for k in KINDS for sort in ("base", "other")]
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            rows = []
+            for t in batch.column("text").to_pylist():
+                base = base_spans(t)
+                other = {k for k, *span in (proposals(t) if t else []) if tuple(span) not in base[k]}
+                rows.append([has for k in KINDS for has in (bool(base[k]), k in other)])
+            held = np.array(rows, bool).reshape(-1, len(flags))
+            some = held.any(axis=1)
+            ids = batch.column("_tg_id").filter(pa.array(some))
+            yield pa.RecordBatch.from_pydict({"_tg_id": ids} | {f: pa.array(held[some, k]) for k, f in enumerate(flags)})
+
+    schema = StructType([named.schema["_tg_id"]])
+    for flag in flags:
+        schema = schema.add(flag, "boolean")
+    held = stored(map_batches(named, holding, schema))
+    first = [held.where(f).select("_tg_id").distinct().orderBy(F.xxhash64("_tg_id"), "_tg_id").limit(max(1, max_train // len(flags))) for f in flags]
+    ids = stored(reduce(DataFrame.union, first).distinct())
+    texts = named.join(F.broadcast(ids), "_tg_id").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,6 +247,8 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, id: str = "doc_id", text:
             seen = len(rows) * 7 // 10
             models[kind] = boosting.fit(rows[:seen, 1:], rows[:seen, 0])
             models[kind].calibrate(rows[seen:, 1:], rows[seen:, 0])
+        else:
+            logging.getLogger(__name__).warning("too few examples of %s in the whole input: its proposals are not scored", kind)
     return models
 
 
