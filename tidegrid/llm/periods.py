@@ -89,8 +89,8 @@ def implied(at: np.ndarray, distance: np.ndarray, b: int, runs: tuple[np.ndarray
     return out
 
 
-def seeds(w: np.ndarray, b: int, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First word and distance of every occurrence of these blocks (by number) in their windows, in order of the first word."""
+def seeds(w: np.ndarray, b: int, blocks: np.ndarray, runs: tuple[np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """First word and distance of the occurrences of these blocks (by number) in their windows that no known run implies."""
     low, high = (1, 6) if b == 2 else (2 * b - 1, 4 * b - 2)
     found_at, found_far = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     step = max(1, SLICE // (4 * b))
@@ -100,6 +100,8 @@ def seeds(w: np.ndarray, b: int, blocks: np.ndarray) -> tuple[np.ndarray, np.nda
         windows = w[at[:, None] + np.arange(low, high + b)]
         row, place = np.nonzero(squared_differences(here, windows) == 0)
         first, far = at[row], place + low
+        new = ~implied(first, far, b, runs)
+        first, far = first[new], far[new]
         # The words themselves decide, whatever the sums are modulo the prime.
         same = np.ones(len(first), bool)
         for j in range(0, len(first), max(1, SLICE // b)):
@@ -171,9 +173,7 @@ def runs_of(words: np.ndarray, lengths: np.ndarray, least: int = LEAST) -> tuple
             blocks = blocks[reach[np.searchsorted(found[0][short], blocks * b, side="right")] < blocks * b + 5 * b - 2]
         if not len(blocks):
             continue
-        at, far = seeds(w, b, blocks)
-        keep = ~implied(at, far, b, found)
-        at, far = at[keep], far[keep]
+        at, far = seeds(w, b, blocks, found)
         if not len(at):
             continue
         order = np.lexsort((at, far))
