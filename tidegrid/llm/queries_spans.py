@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegrid.llm import periods
+from tidegrid.llm import alignment, periods
 from tidegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +46,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op11_periodic_runs"] = op11_periodic_runs
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents aligned by a byte-level and a sentencepiece tokenizer, with corpus-wide counts of linked ids."""
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), a, b, keep=["doc_id"], groups=False, digests=True)
+
+
+QUERIES["op13_token_alignment"] = op13_token_alignment
