@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructType
 
-from tidegrid.llm.common import chunks, map_batches, stored
+from tidegrid.llm.common import chunks, map_batches, ramps, stored
 from tidegrid.llm.pieces import Pieces, Ragged
 
 #: Radix partitions of the first tokenizer's ids.
@@ -35,6 +35,10 @@ PARTS = 256
 FAN = 128
 #: Distinct pieces of text that a worker remembers, also from task to task; beyond that it starts again.
 REMEMBERED = 300_000
+#: Pieces given to the tokenizers at a time.
+ASKED = 20_000
+#: Groups with more links than this are counted by distinct ids.
+WIDE = 1_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -61,6 +65,18 @@ def groups_of(a: list[int], a_bytes: list[int], b: list[int], b_bytes: list[int]
             first_a, first_b = i, j
 
 
+def counted(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths, and all numbers behind each other."""
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return n, np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
+
+
+def byte_table(tokens: list[bytes]) -> Ragged:
+    table = Ragged(np.uint8)
+    table.extend(np.frombuffer(b"".join(tokens), np.uint8), np.fromiter(map(len, tokens), np.int64, len(tokens)))
+    return table
+
+
 class Aligner:
     """Both tokenizers, and the alignment of every piece of text met so far.
 
@@ -87,6 +103,10 @@ class Aligner:
         if any("▁" in p.lstrip("▁") for p in names):
             raise ValueError("tokens of the second tokenizer must not go on over a space")
         self.space = self.b.piece_to_id("▁")
+        self.a_table, self.b_table = (byte_table(t) for t in (self.a_bytes, self.b_bytes))
+        # Every id with the mark behind it: a comma, or what ends its side of a group.
+        self.marks = [f"{k}{m}" for k in range(len(self.a_bytes)) for m in ",|"] + [f"{k}{m}" for k in range(self.width) for m in ",;"]
+        self.mark_size = np.fromiter(map(len, self.marks), np.int64)
         self.clear()
 
     def clear(self) -> None:
@@ -97,25 +117,62 @@ class Aligner:
     def learn(self) -> None:
         """Align the pieces that are new."""
         fresh = self.pieces.texts[len(self.groups) :]
-        if not fresh:
-            return
-        of_a = [e.ids for e in self.a.encode_batch_fast(fresh, add_special_tokens=False)]
+        for k in range(0, len(fresh), ASKED):
+            self._learn(fresh[k : k + ASKED])
+
+    def _learn(self, fresh: list[str]) -> None:
+        listed = [e.ids for e in self.a.encode_batch_fast(fresh, add_special_tokens=False)]
+        n_a, a = counted(listed)
         # The second tokenizer puts the space before a text itself; for a space alone it puts nothing.
-        of_b = [[self.space] if p == " " else ids for p, ids in zip(fresh, self.b.encode([p[1:] for p in fresh], num_threads=1))]
-        counts, keys, times, n = [], [], [], []
-        for piece, a, b in zip(fresh, of_a, of_b):
-            text = piece.encode("utf-8", "surrogatepass")
-            sound = b"".join(map(self.a_bytes.__getitem__, a)) == text == b"".join(map(self.b_bytes.__getitem__, b))
-            self.sound.append(sound)
-            made, linked, links = self.aligned(a, b) if sound else ([], {}, 0)
-            self.groups.append(";".join(made))
-            counts.append((len(a), len(b), len(made), links))
-            keys.extend(linked)
-            times.extend(linked.values())
-            n.append(len(linked))
-        self.counts = np.concatenate([self.counts, np.array(counts, np.int64)])
-        self.keys.extend(np.array(keys, np.int64), np.array(n, np.int64))
-        self.times.extend(np.array(times, np.int64), np.array(n, np.int64))
+        listed = [[self.space] if p == " " else ids for p, ids in zip(fresh, self.b.encode([p[1:] for p in fresh], num_threads=1))]
+        n_b, b = counted(listed)
+        raw = [p.encode("utf-8", "surrogatepass") for p in fresh]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        text = np.frombuffer(b"".join(raw), np.uint8)
+        sound = np.ones(len(fresh), bool)
+        for ids, n, table in ((a, n_a, self.a_table), (b, n_b, self.b_table)):
+            sound &= np.bincount(np.repeat(np.arange(len(n)), n), table.length[ids], len(n)) == size
+        for ids, n, table in ((a, n_a, self.a_table), (b, n_b, self.b_table)):
+            made, _ = table.take(ids[np.repeat(sound, n)])
+            owner = np.repeat(np.flatnonzero(sound), size[sound])
+            sound[owner[made != text[np.repeat(sound, size)]]] = False
+        a, b = a[np.repeat(sound, n_a)], b[np.repeat(sound, n_b)]
+        n_a, n_b = np.where(sound, n_a, 0), np.where(sound, n_b, 0)
+        a_end, b_end = np.cumsum(self.a_table.length[a]), np.cumsum(self.b_table.length[b])
+        cuts = np.intersect1d(a_end, b_end, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+        own, other = np.bincount(group_a, minlength=len(cuts)), np.bincount(group_b, minlength=len(cuts))
+        own_start, other_start = np.cumsum(own) - own, np.cumsum(other) - other
+        piece_a = np.repeat(np.arange(len(fresh)), n_a)
+        piece = piece_a[own_start]  # of each group
+        # Text: tokens of a group, first side first, each with the mark behind it.
+        marked = np.zeros(len(a) + len(b), np.int64)
+        marked[np.arange(len(a)) + other_start[group_a]] = a * 2 + np.isin(np.arange(len(a)), own_start + own - 1)
+        marked[np.arange(len(b)) + (own_start + own)[group_b]] = 2 * len(self.a_bytes) + b * 2 + np.isin(np.arange(len(b)), other_start + other - 1)
+        written = "".join(map(self.marks.__getitem__, marked.tolist()))
+        stops = np.cumsum(np.append(0, self.mark_size[marked]))[np.cumsum(n_a + n_b)].tolist()
+        self.groups += [written[x : max(x, y - 1)] for x, y in zip([0, *stops], stops)]
+        self.sound += sound.tolist()
+        links = own * other
+        per_piece = lambda x: np.bincount(piece, x, len(fresh)).astype(np.int64)
+        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, per_piece(np.ones(len(cuts))), per_piece(links)], axis=1)])
+        # Pairs: every link, but for wide groups each pair once with its number.
+        wide = links > WIDE
+        spread = np.where(wide, 0, links)
+        at = np.repeat(np.arange(len(cuts)), spread)
+        step = ramps(spread)
+        keys = a[own_start[at] + step // other[at]] * self.width + b[other_start[at] + step % other[at]]
+        times, owner = np.ones(len(keys), np.int64), piece[at]
+        for g in np.flatnonzero(wide).tolist():
+            x, n = np.unique(a[own_start[g] : own_start[g] + own[g]], return_counts=True)
+            y, m = np.unique(b[other_start[g] : other_start[g] + other[g]], return_counts=True)
+            keys = np.append(keys, (x[:, None] * self.width + y).ravel())
+            times = np.append(times, (n[:, None] * m).ravel())
+            owner = np.append(owner, np.full(len(x) * len(y), piece[g]))
+        order = np.argsort(owner, kind="stable")
+        n = np.bincount(owner, minlength=len(fresh))
+        self.keys.extend(keys[order], n)
+        self.times.extend(times[order], n)
 
     def aligned(self, a: list[int], b: list[int]) -> tuple[list[str], Counter, int]:
         """Groups as text, how often each pair (``a * width + b``) is linked, and the number of links."""
