@@ -136,3 +136,44 @@ def test_registry_of_documents(spark, tmp_path):
     assert reg.compare_versions(docs, "v1.0.1", "v1.0.2").first()["improvement_percentage"] == pytest.approx(20.0)
     kept = {r["version"]: r["keep"] for r in reg.retain_versions(docs, 1).collect()}
     assert kept == {"v1.0.1": False, "v1.0.2": True}
+
+
+def test_patience_keeps_the_prefix_that_brute_force_chooses(fitted):
+    view, names, _ = fitted
+    held = view.where("split = 'val'")
+    whole = training.fit_model(view, names, {"maxIter": 12, "maxDepth": 3, "stepSize": 0.6})
+    errors = []
+    for k in range(1, 13):
+        short = training.fit_model(view, names, {"maxIter": k, "maxDepth": 3, "stepSize": 0.6})
+        errors.append(short.metrics["val_rmse"])
+    for patience, delta in ((1, 0.0), (3, 0.0), (2, 0.5), (20, 0.0)):
+        best, kept, waited = float("inf"), 0, 0
+        for k, e in enumerate(errors, 1):
+            best, kept, waited = (e, k, 0) if e < best - delta else (best, kept, waited + 1)
+            if waited == patience:
+                break
+        cut = training.fit_model(view, names, {"maxIter": 12, "maxDepth": 3, "stepSize": 0.6}, patience=patience, min_delta=delta)
+        assert cut.model.stages[-1].getNumTrees == kept == cut.metrics["rounds"]
+        assert cut.metrics["val_rmse"] == pytest.approx(errors[kept - 1])
+    assert whole.model.stages[-1].getNumTrees == 12 and held.count()
+
+
+def test_one_table_of_labels_equals_a_view_for_each_step(gold):
+    table, names = fc.horizon_rows(gold, [1, 5, 24], CONFIG)
+    for step in (1, 5, 24):
+        view, own = fc.training_rows(gold, CONFIG, steps=step)
+        assert names == own
+        want = sorted((r["datetime"], r["label"], r["split"], r["features"].toArray().tolist()) for r in view.collect())
+        label = F.col(f"label_{step}")
+        rows = table.where(label.isNotNull()).select("datetime", label.alias("label"), fc.split_of(step).alias("split"), "features")
+        assert sorted((r["datetime"], r["label"], r["split"], r["features"].toArray().tolist()) for r in rows.collect()) == want
+
+
+def test_horizon_by_one_model_and_by_step(gold):
+    one = fc.fit_horizon(gold, [1, 2, 3], CONFIG, params=SMALL)
+    each = fc.fit_by_step(gold, [1, 2, 3], CONFIG, params=SMALL)
+    for models in (one, each):
+        rows = fc.forecast_horizon(gold, models, CONFIG, steps=[1, 2, 3]).orderBy("step").collect()
+        assert [r["step"] for r in rows] == [1, 2, 3]
+        assert [r["prediction_for"] - r["based_on_data_until"] for r in rows] == [timedelta(hours=h) for h in (1, 2, 3)]
+        assert all(1500 < r["predicted_value"] < 2700 for r in rows)

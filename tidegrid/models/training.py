@@ -7,14 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegrid.functions import errors
 from tidegrid.operators.aggregates import exact_percentiles, forecast_metrics, normalise_importance
 from tidegrid.operators.joins import with_scalars
 
-# Fixed hyperparameters. Column sampling is per tree node in Spark; there is no L1/L2, gamma or patience.
+# Fixed hyperparameters. Column sampling is per tree node in Spark; there is no L1/L2 or gamma.
 TREE_PARAMS = {
     "maxDepth": 6,
     "stepSize": 0.1,
@@ -36,7 +36,13 @@ def tree_estimator(params: Mapping | None = None, early_stopping: bool = False)
     return Pipeline(stages=[StandardScaler(withMean=True, withStd=True, inputCol="features", outputCol="scaled"), trees])
 
 
-_ESTIMATORS: dict[str, Callable[..., Pipeline]] = {"gbt": tree_estimator}
+def linear_estimator(params: Mapping | None = None, early_stopping: bool = False) -> Pipeline:
+    """Standardise, then least squares by the normal equations: one pass, sums combined before the shuffle."""
+    least = LinearRegression(featuresCol="scaled", labelCol="label", solver="normal").setParams(**(params or {}))
+    return Pipeline(stages=[StandardScaler(withMean=True, withStd=True, inputCol="features", outputCol="scaled"), least])
+
+
+_ESTIMATORS: dict[str, Callable[..., Pipeline]] = {"gbt": tree_estimator, "linear": linear_estimator}
 
 
 def register_model(name: str, estimator: Callable[..., Pipeline]) -> None:
@@ -66,19 +72,54 @@ class Fitted:
         return self.model.transform(df)
 
 
+def stopping_point(scores: Sequence[float], patience: int, min_delta: float = 0.0) -> int:
+    """How many rounds to keep: up to the best one, once ``patience`` rounds in a row have not been better by more than ``min_delta``."""
+    best, kept, waited = float("inf"), 0, 0
+    for k, score in enumerate(scores, 1):
+        if score < best - min_delta:
+            best, kept, waited = score, k, 0
+        else:
+            waited += 1
+            if waited >= patience:
+                break
+    return kept
+
+
+def cut_back(trees: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of the first trees alone. Boosting adds trees in order, so it is what a shorter fit would have given."""
+    if rounds >= trees.getNumTrees:
+        return trees
+    spark = SparkSession.getActiveSession()
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    kept = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    own, weight = trees._java_obj.trees(), trees._java_obj.treeWeights()
+    for k in range(rounds):
+        kept[k], weights[k] = own[k], weight[k]
+    made = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{trees.uid}_{rounds}", kept, weights))
+    made._resetUid(made._java_obj.uid())
+    return made.setFeaturesCol(trees.getFeaturesCol()).setPredictionCol(trees.getPredictionCol())
+
+
 def fit_model(
     view: DataFrame,
     names: Sequence[str],
     params: Mapping | None = None,
     kind: str = "gbt",
     early_stopping: bool = False,
+    patience: int | None = None,
+    min_delta: float = 0.0,
 ) -> Fitted:
     """Fit on ``split = 'train'`` (scaler included) and report train and validation error.
 
-    With early stopping the trees also see the validation rows, flagged, but the scaler is still fitted on train only.
+    With early stopping the trees also see the validation rows, flagged, but the scaler is still fitted on train only. With
+    ``patience`` all trees are fitted, the validation RMSE of every number of first trees is taken in one pass, and the trees
+    behind the best one before ``patience`` rounds without a gain of ``min_delta`` are dropped. Without either the model must
+    have all the trees that were asked for.
     """
     pipeline = model(kind)(params, early_stopping)
     train = view.where(F.col("split") == "train")
+    rounds = None
     if early_stopping:
         scaler, trees = pipeline.getStages()
         scale = scaler.fit(train)
@@ -86,13 +127,19 @@ def fit_model(
         fitted = PipelineModel([scale, trees.fit(scale.transform(flagged))])
     else:
         fitted = pipeline.fit(train)
+        _all_trees(fitted.stages[-1])
+    if patience is not None:
+        *before, trees = fitted.stages
+        held = PipelineModel(before).transform(view.where(F.col("split") == "val"))
+        rounds = stopping_point([e**0.5 for e in trees.evaluateEachIteration(held, "squared")], patience, min_delta)
+        fitted = PipelineModel([*before, cut_back(trees, rounds)])
     scored = fitted.transform(view.where(F.col("split").isin("train", "val")))
     rows = scored.groupBy("split").agg(
         errors.rmse("label", "prediction").alias("rmse"),
         errors.mape("label", "prediction").alias("mape"),
         F.count(F.lit(1)).alias("n"),
     )
-    metrics: dict[str, float] = {}
+    metrics: dict[str, float] = {} if rounds is None else {"rounds": float(rounds)}
     for row in rows.collect():  # at most two rows
         metrics[f"{row['split']}_rmse"] = row["rmse"]
         metrics[f"{row['split']}_samples"] = float(row["n"])
@@ -101,6 +148,11 @@ def fit_model(
     return Fitted(fitted, list(names), metrics)
 
 
+def _all_trees(last) -> None:
+    if isinstance(last, GBTRegressionModel) and last.getNumTrees != last.getMaxIter():
+        raise RuntimeError(f"boosting stopped after {last.getNumTrees} of {last.getMaxIter()} trees")
+
+
 def evaluate(fitted: Fitted, view: DataFrame, split: str | None = "test", keys: Sequence[str] = ()) -> DataFrame:
     """The five metrics over one split."""
     rows = view if split is None else view.where(F.col("split") == split)

@@ -31,7 +31,11 @@ class FeatureConfig:
     drop: bool = True
     skip: Sequence[str] = field(default_factory=tuple)
     label: str | None = None
-    label_steps: int = 1
+    label_steps: int | Sequence[int] = 1
+
+    @property
+    def steps(self) -> tuple[int, ...]:
+        return (self.label_steps,) if isinstance(self.label_steps, int) else tuple(self.label_steps)
 
 
 def numeric_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
@@ -46,7 +50,7 @@ def build_features(
 
     All window columns share one specification and are issued in one projection: one sort and one Window node,
     whatever their number. With ``config.label`` the value of that column ``label_steps`` rows ahead is added as
-    ``label`` in the same pass.
+    ``label`` in the same pass; of several steps each as ``label_<step>``, and these may be NULL at the end of a series.
     """
     if ts not in df.columns:
         raise ValueError(f"no time column {ts}")
@@ -58,9 +62,9 @@ def build_features(
     if config.windows:
         makers.append(rolling_columns(cols, config.windows, config.by, config.shift))
     if config.label:
-        makers.append(lambda over: [_ahead(config, over)])
+        makers.append(lambda over: [_ahead(config, step, over) for step in config.steps])
     lookback = max([*config.lags, *(w + config.shift for w in config.windows), 1])
-    lookahead = config.label_steps if config.label else 0
+    lookahead = max(config.steps) if config.label else 0
 
     def build(over: str):
         return [column for make in makers for column in make(over)]
@@ -71,14 +75,18 @@ def build_features(
         out = framed_by_time(timed, keys, ts, lookback, build, lookahead=lookahead)
     if config.with_interactions:
         out = interactions(out)
-    return drop_warmup(out) if config.drop else out
+    return drop_warmup(out, [label_name(config, step) for step in config.steps] if config.label and len(config.steps) > 1 else ()) if config.drop else out
+
+
+def label_name(config: FeatureConfig, step: int) -> str:
+    return "label" if isinstance(config.label_steps, int) else f"label_{step}"
 
 
-def _ahead(config: FeatureConfig, over: str):
-    target, steps = f"CAST({quoted(config.label)} AS DOUBLE)", config.label_steps
+def _ahead(config: FeatureConfig, steps: int, over: str):
+    target, name = f"CAST({quoted(config.label)} AS DOUBLE)", label_name(config, steps)
     if config.by == "rows":
-        return F.expr(f"lead({target}, {steps}) OVER ({over}) AS label")
-    return F.expr(f"first({target}) OVER ({over} RANGE BETWEEN {steps} FOLLOWING AND {steps} FOLLOWING) AS label")
+        return F.expr(f"lead({target}, {steps}) OVER ({over}) AS {name}")
+    return F.expr(f"first({target}) OVER ({over} RANGE BETWEEN {steps} FOLLOWING AND {steps} FOLLOWING) AS {name}")
 
 
 def feature_names(df: DataFrame, target: str = TARGET, keys: Sequence[str] = (), exclude: Sequence[str] = EXCLUDE):
@@ -93,11 +101,12 @@ def training_view(
     ts: str = "datetime",
     exclude: Sequence[str] = EXCLUDE,
     keep: Sequence[str] = (),
+    only: Sequence[str] | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """(keys, time, label, features) in one table, rows without a target dropped; and the feature names."""
+    """(keys, time, label, features) in one table, rows without a target dropped; and the feature names (``only`` those named)."""
     if target not in df.columns:
         raise ValueError(f"target {target} not found, available: {df.columns[:10]}")
-    names = feature_names(df, target, keys, exclude)
+    names = feature_names(df, target, (*keys, *keep), exclude) if only is None else list(only)
     known = df.where(F.col(target).isNotNull()).withColumn("label", F.col(target).cast("double"))
     packed = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(known)
     return packed.select(*keys, ts, *keep, "label", "features"), names

@@ -95,13 +95,13 @@ def drop_null_critical(df: DataFrame, cols: Sequence[str] = CANONICAL_REQUIRED)
     return df.dropna(subset=[c for c in cols if c in df.columns])
 
 
-def drop_warmup(df: DataFrame) -> DataFrame:
-    """Drop rows with any NULL, as lag and rolling columns have at the start of a series.
+def drop_warmup(df: DataFrame, but: Sequence[str] = ()) -> DataFrame:
+    """Drop rows with any NULL (outside the columns ``but``), as lag and rolling columns have at the start of a series.
 
     One IS NOT NULL per column instead of ``dropna``: its single predicate over all columns makes Catalyst's constraint
     propagation exponential on wide tables.
     """
-    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in df.columns]))
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in df.columns if c not in but]))
 
 
 def drop_null_target(df: DataFrame, target: str) -> DataFrame:

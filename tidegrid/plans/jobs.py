@@ -258,12 +258,14 @@ def full_training(
     target: str = TARGET,
     steps: int = 1,
     early_stopping: bool = False,
+    kind: str = "gbt",
+    only: Sequence[str] | None = None,
 ) -> dict:
-    """Features, split, fit, evaluate, register. Returns the version, metrics and the importance table."""
+    """Features, split, fit, evaluate, register. Returns the version, metrics and the importance table (of trees)."""
     started = datetime.now(timezone.utc)
-    view, names = training_rows(gold, config, target, steps, keys)
+    view, names = training_rows(gold, config, target, steps, keys, only=only)
     view = cut_lineage(view)
-    fitted = fit_model(view, names, params, early_stopping=early_stopping)
+    fitted = fit_model(view, names, params, kind, early_stopping=early_stopping)
     sizes = {r["split"]: r["count"] for r in view.groupBy("split").count().collect()}
     tested = evaluate(fitted, view).first().asDict()
     metrics = {**fitted.metrics, **{k: v for k, v in tested.items() if v is not None}}
@@ -272,12 +274,13 @@ def full_training(
         metrics.update({k: marks[k] for k in ("residual_low", "residual_high") if marks[k] is not None})
     completed = datetime.now(timezone.utc)
     version = reg.version_name(completed)
-    used = {**TREE_PARAMS, **(params or {})}
+    used = {**(TREE_PARAMS if kind == "gbt" else {}), **(params or {})}
     record = reg.training_record(
-        spark, "gbt", version, started, completed, sizes, names, used, metrics, tags={"target": target}
+        spark, kind, version, started, completed, sizes, names, used, metrics, tags={"target": target}
     )
     reg.save_model(fitted, record, root)
-    return {"version": version, "metrics": metrics, "importance": feature_importance(spark, fitted), "fitted": fitted}
+    importance = feature_importance(spark, fitted) if kind == "gbt" else None
+    return {"version": version, "metrics": metrics, "importance": importance, "fitted": fitted}
 
 
 def prediction(
@@ -290,13 +293,14 @@ def prediction(
     keys: Sequence[str] = (),
     config: FeatureConfig = FeatureConfig(),
     margin: int = 24,
+    kind: str = "gbt",
 ) -> DataFrame:
     """Next-hour record per series from the recent hours and the latest model.
 
     The look-back is the longest lag plus a margin: exactly the longest lag would leave no usable row as soon as one
     hour is missing.
     """
-    fitted, row = reg.load_model(spark, root, "gbt")
+    fitted, row = reg.load_model(spark, root, kind)
     hours = max([*config.lags, *config.windows]) + margin
     recent = load_recent(hourly, daily, end, hours, keys)
     made = forecast_next(recent, fitted, config, keys)
@@ -309,7 +313,7 @@ def prediction(
         "predicted_value",
         (point + F.lit(low)).cast("double").alias("confidence_lower"),
         (point + F.lit(high)).cast("double").alias("confidence_upper"),
-        F.lit("gbt").alias("model_type"),
+        F.lit(kind).alias("model_type"),
         F.lit(row["version"]).alias("model_version"),
         F.lit(now).alias("generated_at"),
         F.col("based_on_data_until").cast("string").alias("based_on_data_until"),

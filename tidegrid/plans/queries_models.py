@@ -15,7 +15,7 @@ from tidegrid.operators.features import FeatureConfig
 from tidegrid.operators.quality import drop_null_critical
 from tidegrid.operators.windows import impute_canonical
 from tidegrid.plans import jobs, tables
-from tidegrid.plans.catalog import HOURLY, i, n, query, r
+from tidegrid.plans.catalog import HOURLY, i, n, query, r, t
 from tidegrid.plans.queries_series import forecast
 from tidegrid.session import cut_lineage, scratch_path
 from tidegrid.sources import layers
@@ -54,7 +54,7 @@ def train_gbt(spark, d):
 @query("train_early_stopping")
 def train_early_stopping(spark, d):
     view, names = _rows(spark, d)
-    fitted = training.fit_model(view, names, PARAMS, early_stopping=True)
+    fitted = training.fit_model(view, names, PARAMS, patience=10)
     trees = fitted.model.stages[-1].getNumTrees
     return _metrics_frame(spark, {**fitted.metrics, "trees": trees})
 
@@ -123,10 +123,11 @@ def forecast_next(spark, d):
 
 @query("forecast_horizon")
 def forecast_horizon(spark, d):
+    """All 24 steps by one model that has the step as a feature."""
     whole = cut_lineage(series(spark, d))
-    models = fc.fit_by_step(whole, STEPS, CONFIG, keys=KEY, params=PARAMS)
+    fitted = fc.fit_horizon(whole, STEPS, CONFIG, keys=KEY, params=PARAMS)
     end = whole.agg(F.max("datetime")).first()[0]
-    return fc.forecast_horizon(layers.load_recent(whole, None, end, 192, KEY), models, CONFIG, KEY)
+    return fc.forecast_horizon(layers.load_recent(whole, None, end, 192, KEY), fitted, CONFIG, KEY, STEPS)
 
 
 @query("model_registry")
@@ -242,3 +243,201 @@ def top_trials(spark, d):
     # One row per version: the registry is small by nature.
     number = F.row_number().over(Window.partitionBy("model_type").orderBy("version")).alias("trial")
     return best(_versions(spark, d).select(number, F.col("metrics")["rmse"].alias("score")), n=3)
+
+
+# Linear models of one feature, the demand of the hour, through the same operators: their numbers have closed forms in SQL.
+# Results are rounded to three decimals, since sums are taken in another order.
+
+ONE = FeatureConfig(lags=(24,), windows=())
+ONLY = ["electricity_demand"]
+
+
+def _linear_sql(steps: str = "1") -> str:
+    return f"""{HOURLY},
+s AS (SELECT event_type, datetime, total AS x, h, row_number() OVER w AS i, lead(total, h::INT) OVER w AS y
+      FROM hourly, (SELECT unnest([{steps}]) AS h) WINDOW w AS (PARTITION BY event_type, h ORDER BY datetime)),
+k AS (SELECT *, row_number() OVER (PARTITION BY event_type, h ORDER BY datetime) AS k, count(*) OVER (PARTITION BY event_type, h) AS c
+      FROM s WHERE i > 24 AND y IS NOT NULL),
+part AS (SELECT *, CASE WHEN k <= floor(c * 0.7::DOUBLE) THEN 'train' WHEN k <= floor(c * 0.7::DOUBLE) + floor(c * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM k),
+coef AS (SELECT h, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, avg(x) AS mx, avg(y) AS my FROM part WHERE split = 'train' GROUP BY h),
+scored AS (SELECT part.*, a + b * x AS p, b, mx FROM part JOIN coef USING (h)),
+newest AS (SELECT event_type, max(datetime) AS datetime, max_by(total, datetime) AS x, (count(*) FILTER (WHERE datetime >= last - INTERVAL 192 HOUR))::INTEGER AS used
+           FROM hourly, (SELECT max(datetime) AS last FROM hourly) GROUP BY event_type)"""
+
+
+def q(expr: str, name: str) -> str:
+    return r(f"round(({expr})::DOUBLE, 3)", name)
+
+
+def three(df: DataFrame) -> DataFrame:
+    """Reals to three decimals."""
+    return df.withColumns({name: F.round(name, 3) for name, kind in df.dtypes if kind == "double"})
+
+
+_RMSE, _MAPE = "sqrt(avg((y - p) * (y - p)))", "avg(CASE WHEN y != 0 THEN abs((y - p) / y) END) * 100"
+_FIVE = f"{q(_RMSE, 'rmse')}, {q(_MAPE, 'mape')}, {q('avg(abs(y - p))', 'mae')}, {q('1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y))', 'r2')}, {q('avg(p - y)', 'forecast_bias')}"
+
+
+def _linear_rows(spark, d):
+    view, names = fc.training_rows(series(spark, d), ONE, keys=KEY, only=ONLY)
+    return cut_lineage(view), names
+
+
+def _linear(spark, d):
+    view, names = _linear_rows(spark, d)
+    return view, training.fit_model(view, names, kind="linear")
+
+
+@query("linear_test_metrics", f"WITH {_linear_sql()} SELECT event_type, {_FIVE} FROM scored WHERE split = 'test' GROUP BY event_type")
+def linear_test_metrics(spark, d):
+    view, fitted = _linear(spark, d)
+    return three(training.evaluate(fitted, view, keys=KEY))
+
+
+@query(
+    "linear_fit_metrics",
+    f"""WITH {_linear_sql()}, m AS (SELECT split, {_RMSE} AS rmse, {_MAPE} AS mape, count(*) AS n FROM scored GROUP BY split)
+SELECT split || '_rmse' AS metric, {q('rmse', 'value')} FROM m WHERE split != 'test' UNION ALL SELECT split || '_samples', n::DOUBLE FROM m WHERE split != 'test'
+UNION ALL SELECT 'val_mape', {q('mape', 'value')} FROM m WHERE split = 'val'""",
+)
+def linear_fit_metrics(spark, d):
+    return three(_metrics_frame(spark, _linear(spark, d)[1].metrics))
+
+
+@query(
+    "linear_training_view",
+    f"WITH {_linear_sql()} SELECT event_type, {t('datetime')}, split, {q('y', 'label')}, {q('x', 'feature')} FROM part",
+)
+def linear_training_view(spark, d):
+    """The split training table: label, and the one feature out of its vector."""
+    from pyspark.ml.functions import vector_to_array
+
+    view, _ = _linear_rows(spark, d)
+    return three(view.select(*KEY, "datetime", "split", "label", vector_to_array("features")[0].alias("feature")))
+
+
+@query(
+    "scaled_features",
+    f"""WITH {_linear_sql()}, m AS (SELECT avg(x) AS mx, stddev_samp(x) AS sx FROM part WHERE split = 'train')
+SELECT event_type, {t('datetime')}, {q('(x - m.mx) / sx', 'scaled')} FROM part, m""",
+)
+def scaled_features(spark, d):
+    """Features on the scale of the training rows."""
+    from pyspark.ml.functions import vector_to_array
+
+    view, fitted = _linear(spark, d)
+    return three(fitted.transform(view).select(*KEY, "datetime", vector_to_array("scaled")[0].alias("scaled")))
+
+
+_FOLDS = f"""{_linear_sql()}, f AS (SELECT part.*, fold, floor(c / 6) AS size FROM part, (SELECT unnest(range(1, 6)) AS fold)),
+roles AS (SELECT *, CASE WHEN k <= c - (6 - fold) * size THEN 'train' WHEN k <= c - (5 - fold) * size THEN 'test' END AS role FROM f),
+line AS (SELECT fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM roles WHERE role = 'train' GROUP BY fold),
+tried AS (SELECT fold, y, a + b * x AS p FROM roles JOIN line USING (fold) WHERE role = 'test'),
+per AS (SELECT fold, {_RMSE} AS rmse, {_MAPE} AS mape, avg(abs(y - p)) AS mae, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2, avg(p - y) AS forecast_bias FROM tried GROUP BY fold),
+long AS (UNPIVOT per ON rmse, mape, mae, r2, forecast_bias INTO NAME metric VALUE value)"""
+
+
+@query("linear_cross_validation", f"WITH {_FOLDS} SELECT metric, {q('avg(value)', 'mean')}, {q('stddev_pop(value)', 'std')}, {q('min(value)', 'min')}, {q('max(value)', 'max')} FROM long GROUP BY metric")
+def linear_cross_validation(spark, d):
+    view, names = _linear_rows(spark, d)
+    return three(tuning.cross_validate(view, names, None, 5, KEY, kind="linear")[1])
+
+
+@query(
+    "linear_grid_search",
+    f"""WITH {_linear_sql()} SELECT 1::INTEGER AS trial, {q(_RMSE, 'score')} FROM scored WHERE split = 'val'
+UNION ALL SELECT 2::INTEGER, {q('sqrt(avg((y - b * (x - mx)) * (y - b * (x - mx))))', 'score')} FROM scored WHERE split = 'val'""",
+)
+def linear_grid_search(spark, d):
+    """With and without an intercept; features are centred, so the second predicts the deviation alone."""
+    view, names = _linear_rows(spark, d)
+    trials = tuning.grid_search(view, names, {"fitIntercept": [True, False]}, kind="linear")
+    return three(trials.select("trial", "score"))
+
+
+@query(
+    "linear_random_search",
+    f"WITH {_linear_sql()} SELECT trial::INTEGER AS trial, {q(_RMSE, 'score')} FROM scored, (SELECT unnest(range(1, 5)) AS trial) WHERE split = 'val' GROUP BY trial",
+)
+def linear_random_search(spark, d):
+    """Draws of the regulariser's mixing, which without a penalty changes nothing: all trials score as least squares does."""
+    view, names = _linear_rows(spark, d)
+    trials = tuning.random_search(view, names, {"elasticNetParam": (0.0, 1.0), "maxIter": (1, 50)}, n=4, kind="linear")
+    return three(trials.select("trial", "score"))
+
+
+@query(
+    "linear_forecast_next",
+    f"WITH {_linear_sql()} SELECT event_type, {t('datetime + INTERVAL 1 HOUR', 'prediction_for')}, {q('a + b * x', 'predicted_value')}, {i('used', 'historical_hours_used')} FROM newest, coef",
+)
+def linear_forecast_next(spark, d):
+    whole = series(spark, d)
+    end = whole.agg(F.max("datetime")).first()[0]
+    made = fc.forecast_next(layers.load_recent(whole, None, end, 192, KEY), _linear(spark, d)[1], ONE, KEY)
+    return three(made.select(*KEY, "prediction_for", "predicted_value", "historical_hours_used"))
+
+
+@query(
+    "linear_forecast_horizon",
+    f"""WITH {_linear_sql(', '.join(map(str, STEPS)))} SELECT event_type, {i('h', 'step')}, {t('datetime + to_hours(h::INT)', 'prediction_for')}, {q('a + b * x', 'predicted_value')}
+FROM newest, coef""",
+)
+def linear_forecast_horizon(spark, d):
+    """24 direct models, one for each step, from one table of features and labels."""
+    whole = cut_lineage(series(spark, d))
+    models = fc.fit_by_step(whole, STEPS, ONE, keys=KEY, kind="linear", only=ONLY)
+    end = whole.agg(F.max("datetime")).first()[0]
+    made = fc.forecast_horizon(layers.load_recent(whole, None, end, 192, KEY), models, ONE, KEY)
+    return three(made.select(*KEY, "step", "prediction_for", "predicted_value"))
+
+
+_BAND = f"""{_linear_sql()}, marks AS (SELECT quantile_cont(y - p, 0.025) AS lo, quantile_cont(y - p, 0.975) AS hi FROM scored WHERE split = 'val')"""
+
+
+@query("linear_prediction_band", f"WITH {_BAND} SELECT event_type, {t('datetime')}, {q('p', 'prediction')}, {q('p + lo', 'lower')}, {q('p + hi', 'upper')} FROM scored, marks WHERE split = 'test'")
+def linear_prediction_band(spark, d):
+    view, fitted = _linear(spark, d)
+    test, val = (fitted.transform(view.where(F.col("split") == s)) for s in ("test", "val"))
+    return three(training.prediction_band(test, val).select(*KEY, "datetime", "prediction", "lower", "upper"))
+
+
+@query(
+    "linear_predict_with_metadata",
+    f"""WITH {_BAND} SELECT event_type, {t('datetime')}, {q('p', 'predicted_value')}, {q('p + lo', 'confidence_lower')}, {q('p + hi', 'confidence_upper')},
+'linear' AS model_type, 'v1' AS model_version, 1::INTEGER AS feature_count FROM scored, marks WHERE split = 'test'""",
+)
+def linear_predict_with_metadata(spark, d):
+    view, fitted = _linear(spark, d)
+    return three(training.predict_with_metadata(fitted, view.where("split = 'test'"), view.where("split = 'val'"), "linear", "v1", None, KEY))
+
+
+@query(
+    "linear_registry",
+    f"""WITH {_BAND}, m AS (SELECT split, {_RMSE} AS rmse, count(*) AS n FROM scored GROUP BY split)
+SELECT event_type, {t('datetime + INTERVAL 1 HOUR', 'prediction_for')}, {q('a + b * x', 'predicted')}, {q('a + b * x + lo', 'confidence_lower')}, {q('a + b * x + hi', 'confidence_upper')},
+(SELECT sum(n) FROM m)::BIGINT AS samples, (SELECT {q('rmse', 'v')} FROM m WHERE split = 'test') AS test_rmse, 'electricity_demand' AS features FROM newest, coef, marks""",
+)
+def linear_registry(spark, d):
+    """Train, register, load the stored model, predict with it, and read the registry and both copies of the predictions."""
+    root, whole = scratch_path(spark, "models"), series(spark, d)
+    done = jobs.full_training(spark, whole, root, KEY, ONE, kind="linear", only=ONLY)
+    end = whole.agg(F.max("datetime")).first()[0]
+    made = jobs.prediction(spark, whole, None, root, end, f"{root}/predictions", KEY, ONE, margin=168, kind="linear")
+    row = layers.read_registry(spark, f"{root}/registry").where(F.col("version") == done["version"])
+    facts = row.select(F.col("training.total_samples").alias("samples"), F.col("metrics")["rmse"].alias("test_rmse"), F.array_join("training.feature_names", ",").alias("features"))
+    both = [layers.read_predictions(spark, f"{root}/predictions/{copy}") for copy in ("latest", "date=*")]
+    if both[0].exceptAll(both[1]).count() or both[1].count() != made.count():
+        raise ValueError("the two copies of the predictions differ")
+    value = F.struct(*facts.columns)
+    out = made.withColumn("facts", facts.select(value).scalar())
+    return three(out.select(*KEY, F.col("prediction_for").cast("timestamp_ntz"), F.col("predicted_value").alias("predicted"), "confidence_lower", "confidence_upper", "facts.*"))
+
+
+@query(
+    "select_features_rows",
+    f"""WITH {HOURLY}, x AS (SELECT event_type AS feature, sum(total) AS importance FROM hourly GROUP BY 1)
+SELECT feature, {r('importance')} FROM x WHERE importance >= (SELECT quantile_cont(importance, 0.5) FROM x)""",
+)
+def select_features_rows(spark, d):
+    totals = tables.hourly(spark, d).groupBy(F.col("event_type").alias("feature")).agg(F.sum("total").alias("importance"))
+    return training.select_features(totals)

@@ -6,8 +6,11 @@ exactly those.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidegrid.models.scoring import Linear, Scorer
+from tidegrid.operators.features import FeatureConfig
 from tidegrid.plans import tables
 from tidegrid.plans.catalog import HOURLY, LOAD, USER_HOURLY, WEATHER, i, n, query, r, t
 from tidegrid.plans.queries_lake import landed, load_docs, weather_docs
@@ -168,3 +171,52 @@ def stream_silver_weather(spark, d):
         spark, root, out, scratch_path(spark, "checkpoint"), "weather", None, "all", delay=RETENTION
     ).awaitTermination()
     return layers.read_layer(spark, out).select("datetime", "humidity")
+
+
+_CORRECTED = "total + CASE WHEN date_part('day', datetime) % 2 = 0 THEN 1000 ELSE 0 END"
+
+
+@query(
+    "stream_revisions",
+    f"""WITH {HOURLY.replace('hourly AS', 'first_hourly AS')}, hourly AS (SELECT event_type, datetime, {_CORRECTED} AS total FROM first_hourly),
+x AS (SELECT *, {_STATS} FROM hourly)
+SELECT a.event_type, {t('a.datetime', 'datetime')}, {r('a.total', 'total')}, {', '.join(r(f'l{k}.total', f'total_lag_{k}') for k in LAGS)},
+{_ROLLED} FROM x a {_LAGS}""",
+)
+def stream_revisions(spark, d):
+    """Each hour arrives; those of even days arrive again five days later, corrected. The merged table equals the batch answer."""
+    out = scratch_path(spark, "features")
+    made = stateful.stream_features(_corrected(spark, d), "total", KEY, lags=LAGS, windows=WINDOWS, revise=11 * 24)
+    st.stream_upsert(made, out, scratch_path(spark, "checkpoint"), KEY).awaitTermination()
+    return layers.read_layer(spark, out).select(*made.columns)
+
+
+def _corrected(spark: SparkSession, d: str) -> DataFrame:
+    """Hours in order of arrival: an hour when it ends, and on even days once more, with another value, five days later."""
+    rows = tables.hourly(spark, d).select(*KEY, "datetime", "total")
+    first = rows.withColumn("arrives", F.col("datetime"))
+    again = rows.where(F.day("datetime") % 2 == 0).withColumn("total", F.col("total") + 1000.0)
+    again = again.withColumn("arrives", F.col("datetime") + F.expr("INTERVAL 5 DAYS"))
+    return as_stream(spark, first.unionByName(again), "arrives").drop("arrives")
+
+
+_SHORT = FeatureConfig(lags=(1, 24), windows=(3,), by="time")
+_USED = ["total", "total_lag_24", "total_rolling_mean_3"]
+
+
+@query(
+    "stream_forecast",
+    f"""WITH {HOURLY.replace('hourly AS', 'first_hourly AS')}, hourly AS (SELECT event_type, datetime, {_CORRECTED} AS total FROM first_hourly),
+x AS (SELECT *, {_STATS} FROM hourly)
+SELECT a.event_type, {t('a.datetime', 'based_on_data_until')}, {t('a.datetime + INTERVAL 1 HOUR', 'prediction_for')},
+{r('round(0.5 * a.total + 0.3 * l24.total + 0.2 * a.m3, 3)', 'predicted_value')}, 3::INTEGER AS feature_count
+FROM x a {_LAGS} WHERE c3 = 3 AND l24.total IS NOT NULL""",
+)
+def stream_forecast(spark, d):
+    """A forecast as each hour arrives, revised when it is corrected: the model weighs the hour, the day before and the last three hours."""
+    out = scratch_path(spark, "forecasts")
+    weights = Scorer(tuple(_USED), np.zeros(3), np.ones(3), Linear(np.array([0.5, 0.3, 0.2]), 0.0))
+    made = stateful.stream_forecast(_corrected(spark, d), weights, ["total"], KEY, config=_SHORT, revise=11 * 24)
+    st.stream_upsert(made, out, scratch_path(spark, "checkpoint"), KEY, "based_on_data_until").awaitTermination()
+    rows = layers.read_layer(spark, out)
+    return rows.select(*KEY, "based_on_data_until", "prediction_for", F.round("predicted_value", 3).alias("predicted_value"), "feature_count")

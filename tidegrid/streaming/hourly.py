@@ -22,6 +22,7 @@ from tidegrid.schemas import CORRUPT, WEATHER_DOC, electricity_doc
 from tidegrid.sources.bronze import ARRIVED, FILE_NAME, PARTS, query_date, scan_documents
 from tidegrid.sources.layers import read_layer
 from tidegrid.sources.sinks import LEVELS, path_exists, replace_partitions, with_partition_cols
+from tidegrid.streaming import panes
 
 
 def event_time(df: DataFrame, ts: str = "datetime", delay: str = "2 hours") -> DataFrame:
@@ -138,32 +139,12 @@ def stream_rolling(
     df: DataFrame,
     col: str,
     windows: Sequence[int],
-    keys: Sequence[str] = (),
+    keys: Sequence[str],
     ts: str = "datetime",
     delay: str = "2 hours",
 ) -> DataFrame:
-    """Rolling mean and sample deviation per window length, for hours whose window is full. Input: one row per hour."""
-    timed = event_time(df, ts, delay)
-    parts = []
-    for size in windows:
-        frames = timed.groupBy(*keys, F.window(ts, f"{size} hours", "1 hour").alias("__w"))
-        stats = frames.agg(
-            F.count(col).alias("__n"), F.avg(col).alias("rolling_mean"), F.stddev_samp(col).alias("rolling_std")
-        )
-        # The window that ends with an hour belongs to that hour.
-        parts.append(
-            stats.where(F.col("__n") == size).select(
-                *keys,
-                (F.col("__w.end") - F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias(ts),
-                F.lit(size).alias("window"),
-                "rolling_mean",
-                "rolling_std",
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Rolling mean and sample deviation per window length, for hours whose window is full; see ``panes``."""
+    return panes.stream_rolling(event_time(df, ts, delay), col, windows, keys, ts)
 
 
 def upsert(
