@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegrid.functions.timeparts import calendar_features
 from tidegrid.models import registry as reg
@@ -35,12 +35,13 @@ from tidegrid.operators.quality import (
     drop_null_critical,
     fullest,
     null_outliers,
+    outside,
 )
 from tidegrid.operators.windows import PHYSICAL_LIMITS, impute_canonical
-from tidegrid.schemas import CORRUPT
+from tidegrid.schemas import CANONICAL_MEASURES, CORRUPT
 from tidegrid.session import cut_lineage
 from tidegrid.sources.bronze import read_bronze
-from tidegrid.sources.layers import load_recent, read_layer, where_span
+from tidegrid.sources.layers import load_recent, read_layer
 from tidegrid.sources.sinks import (
     LEVELS,
     overwrite_gold,
@@ -97,6 +98,7 @@ def silver_to_gold(
 ) -> DataFrame:
     """Write the canonical table by day; returns its contract check."""
     rows = gold_rows(read_layer(spark, f"{silver}/weather"), read_layer(spark, f"{silver}/electricity"), keys, fill_grid)
+    refresh_edges(spark, silver, keys)
     replace_partitions(with_partition_cols(rows), gold, "day", [*keys, "datetime"])
     return check_canonical(read_layer(spark, gold), keys)
 
@@ -146,7 +148,8 @@ def hourly_increment(
             upsert(fresh, f"{silver}/{source}", keys)
             if not path_exists(spark, f"{silver}/{other}"):
                 return
-            days = with_partition_cols(fresh).select(*PARTS).distinct()
+            days = cut_lineage(with_partition_cols(fresh).select(*PARTS).distinct())
+            refresh_edges(spark, silver, keys, days)
             stored = read_layer(spark, f"{silver}/{other}").join(days, list(PARTS), "left_semi").drop(*PARTS)
             pair = (fresh, stored) if source == "weather" else (stored, fresh)
             joined = to_canonical_columns(join_signals(*pair, keys), keys)
@@ -157,20 +160,78 @@ def hourly_increment(
         query.trigger(availableNow=True).start().awaitTermination()
 
 
+def _joined(spark: SparkSession, silver: str, keys: Sequence[str], near=lambda rows: rows) -> DataFrame:
+    weather, load = (near(read_layer(spark, f"{silver}/{s}")).drop(*PARTS) for s in ("weather", "electricity"))
+    return to_canonical_columns(join_signals(weather, load, keys), keys)
+
+
+def day_edges(joined: DataFrame, keys: Sequence[str] = (), ts: str = "datetime") -> DataFrame:
+    """Per series and day, for each measure: whether it has a value (``any_<measure>``), and one within its limits (``good_<measure>``)."""
+    measures = [c for c in CANONICAL_MEASURES if c in joined.columns]
+    flags = [F.bool_or(F.col(c).isNotNull()).alias(f"any_{c}") for c in measures]
+    good = {c: ~outside(c, *PHYSICAL_LIMITS[c]) if c in PHYSICAL_LIMITS else F.lit(True) for c in measures}
+    flags += [F.bool_or(F.col(c).isNotNull() & good[c]).alias(f"good_{c}") for c in measures]
+    return joined.groupBy(*keys, F.to_date(ts).alias("on_day")).agg(*flags)
+
+
+def refresh_edges(spark: SparkSession, silver: str, keys: Sequence[str] = (), days: DataFrame | None = None) -> None:
+    """Bring the edge index of silver up to date: for the given days (columns PARTS), or for all.
+
+    The index has one row per series and day of joined silver. Whoever changes silver refreshes the days it touched.
+    """
+    near = (lambda rows: rows.join(F.broadcast(days), list(PARTS), "left_semi")) if days is not None else (lambda rows: rows)
+    replace_partitions(with_partition_cols(day_edges(_joined(spark, silver, keys, near), keys), "on_day"), f"{silver}/edges", "day", [*keys])
+
+
+def imputation_span(edges: DataFrame, on, keys: Sequence[str] = ()) -> DataFrame:
+    """Per series the first and last day (``low``, ``high``) that the imputation of the day ``on`` depends on.
+
+    On either side that is, for each measure, the nearest day with a value within its limits: nothing beyond such a value
+    reaches the day, in either pass. Where there is none, values outside the limits may still shape what is filled in, so
+    all days that have any count; a measure without any value on a side needs nothing from it.
+    """
+    day, target = F.col("on_day"), F.lit(str(on)).cast("date")
+    measures = [c.removeprefix("good_") for c in edges.columns if c.startswith("good_")]
+
+    def reach(side, nearest, farthest) -> list[Column]:
+        return [F.coalesce(nearest(F.when(side & F.col(f"good_{c}"), day)), farthest(F.when(side & F.col(f"any_{c}"), day)), target) for c in measures]
+
+    low = F.least(target, *reach(day < target, F.max, F.min))
+    high = F.greatest(target, *reach(day > target, F.min, F.max))
+    return edges.groupBy(*keys).agg(low.alias("low"), high.alias("high"))
+
+
 def daily_compaction(
-    spark: SparkSession, silver: str, gold_daily: str, gold_hourly: str, on, keys: Sequence[str] = (), around: int = 7
+    spark: SparkSession, silver: str, gold_daily: str, gold_hourly: str, on, keys: Sequence[str] = ()
 ) -> DataFrame:
     """One day: merge its silver files, rebuild its gold, and drop its hourly gold if the daily table now covers it.
 
-    Only the day and ``around`` days on either side are read. Imputation looks at the nearest readings; a gap that reaches
-    further back than that is filled from inside the range, or not at all.
+    The gold of the day equals that of a full run. The edge index tells, by series, which days before and after hold the
+    values that imputation looks for, at any distance; only these and what lies between them are read.
     """
     for source in ("weather", "electricity"):
         compact_day(spark, f"{silver}/{source}", on, keys)
-    day = datetime.fromisoformat(str(on))
-    low, high = day - timedelta(days=around), day + timedelta(days=around)
-    near = (where_span(read_layer(spark, f"{silver}/{s}"), low, high) for s in ("weather", "electricity"))
-    rows = gold_rows(*near, keys).where(F.to_date("datetime") == F.lit(str(on)).cast("date"))
+    if path_exists(spark, f"{silver}/edges"):
+        today = spark.createDataFrame([tuple(str(on).split("-"))], ", ".join(f"{p} string" for p in PARTS))
+        refresh_edges(spark, silver, keys, today)
+    else:
+        refresh_edges(spark, silver, keys)
+    edges = read_layer(spark, f"{silver}/edges").drop(*PARTS)
+    span = cut_lineage(imputation_span(edges, on, keys))
+    group = F.struct(*keys) if keys else F.lit(0)
+    spans = span.select(group.alias("__k"), "low", "high")
+    listed = edges.select(group.alias("__k"), "on_day").join(spans, "__k").where(F.col("on_day").between(F.col("low"), F.col("high")))
+    days = [str(r["on_day"]) for r in listed.select("on_day").distinct().collect()]  # the calendar bounds them
+
+    def near(rows: DataFrame) -> DataFrame:
+        rows = rows.where(F.concat_ws("-", *PARTS).isin(days))
+        if not keys:
+            return rows
+        placed = rows.withColumn("__k", group).join(spans, "__k").where(F.to_date("datetime").between(F.col("low"), F.col("high")))
+        return placed.drop("__k", "low", "high")
+
+    rows = gold_rows(*(near(read_layer(spark, f"{silver}/{s}")) for s in ("weather", "electricity")), keys)
+    rows = rows.where(F.to_date("datetime") == F.lit(str(on)).cast("date"))
     replace_partitions(with_partition_cols(rows), gold_daily, "day", [*keys, "datetime"])
     return retire_hourly(spark, gold_hourly, gold_daily, keys, on=on)
 

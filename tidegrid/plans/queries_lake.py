@@ -583,3 +583,45 @@ def job_daily_compaction(spark, d):
     left = days.where(~F.col("retired")).agg(F.count(F.lit(1)).alias("c"))
     gold = layers.load_canonical(spark, f"{root}/daily").select("datetime", "electricity_demand")
     return gold.withColumn("hourly_rows_left", left.scalar())
+
+
+# An outage: what follows the tenth day comes thirty days later, the load of that day and of the first one after it is
+# missing, and impossible values stand on either side.
+
+
+def _outage_sql(source: str, value: str, out: str) -> str:
+    day = "date_part('day', datetime)"
+    shifted = f"datetime + CASE WHEN {day} > 10 THEN INTERVAL 30 DAY ELSE INTERVAL 0 DAY END AS datetime"
+    return f"{out} AS (SELECT * REPLACE ({shifted}, {value}) FROM {source})"
+
+
+_LOST = "CASE WHEN date_part('day', datetime) IN (10, 11) THEN CASE WHEN date_part('hour', datetime) = 5 THEN -50 END ELSE total_load END AS total_load"
+_HOT = "CASE WHEN date_part('day', datetime) = 10 AND date_part('hour', datetime) >= 20 THEN 99 ELSE temperature END AS temperature"
+_OUTAGE = f"""{WEATHER.replace('weather AS', 'w0 AS')}, {LOAD.replace('load AS', 'l0 AS')},
+{_outage_sql('w0', _HOT, 'weather')}, {_outage_sql('l0', _LOST, 'load')},
+canon AS (SELECT w.datetime, l.total_load AS electricity_demand, w.temperature, w.humidity, w.wind_speed, w.precipitation FROM weather w JOIN load l ON w.datetime = l.datetime)"""
+
+
+def _after_outage() -> str:
+    from tidegrid.plans.queries_series import _imputed_sql
+
+    chosen = ("2024-01-09", "2024-01-10", "2024-02-10", "2024-02-11")
+    days = ", ".join(f"DATE '{day}'" for day in chosen)
+    sql = _imputed_sql(f"SELECT {t('datetime')}, {r('electricity_demand')}, {r('temperature')} FROM twice WHERE electricity_demand IS NOT NULL AND temperature IS NOT NULL AND datetime::DATE IN ({days})")
+    return sql.replace(CANON, _OUTAGE)
+
+
+@query("job_daily_compaction_outage", _after_outage())
+def job_daily_compaction_outage(spark, d):
+    """Days on both sides of an outage of thirty days, compacted one by one: each equals the full run."""
+    root, day = scratch_path(spark, "lake"), F.day("datetime")
+    shifted = F.when(day > 10, F.col("datetime") + F.expr("INTERVAL 30 DAYS")).otherwise(F.col("datetime"))
+    lost = F.when(day.isin(10, 11), F.when(F.hour("datetime") == 5, F.lit(-50.0))).otherwise(F.col("total_load"))
+    hot = F.when((day == 10) & (F.hour("datetime") >= 20), F.lit(99.0)).otherwise(F.col("temperature"))
+    weather, load = tables.weather(spark, d).withColumn("temperature", hot), tables.load(spark, d).withColumn("total_load", lost)
+    for source, rows in (("weather", weather), ("electricity", load)):
+        sinks.write_layer(rows.withColumn("datetime", shifted), f"{root}/silver/{source}")
+    sinks.write_layer(quality.drop_null_critical(tables.canonical(spark, d)), f"{root}/hourly")
+    for on in ("2024-01-09", "2024-01-10", "2024-02-10", "2024-02-11"):
+        jobs.daily_compaction(spark, f"{root}/silver", f"{root}/daily", f"{root}/hourly", on)
+    return layers.load_canonical(spark, f"{root}/daily").select("datetime", "electricity_demand", "temperature")
