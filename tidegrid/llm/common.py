@@ -36,6 +36,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(*frames: DataFrame) -> None:
+    """Delete the files of stored stages. Only for stages whose readers have all been stored themselves."""
+    for df in frames:
+        for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()[:1]}:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
 #: Bytes of one Arrow batch between the JVM and Python; a longer row is a batch of its own.
 BATCH_BYTES = 8_000_000
 

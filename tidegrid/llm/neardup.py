@@ -14,15 +14,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidegrid.llm.common import chunks, having, join_groups, map_batches, mix, ramps, shingle_hashes, stored, without, word_hashes, words
+from tidegrid.llm.common import chunks, having, join_groups, map_batches, mix, ramps, released, shingle_hashes, stored, without, word_hashes, words
 from tidegrid.llm.components import components, joined
 
 WIDTH = 5  # words of a shingle
 SIMILAR = 0.8
 BANDS, ROWS = 20, 4  # a pair at 0.8 misses all bands with a chance of 3 in 100,000
 POISSON = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)])
-#: Candidates whose signatures agree in less than SIMILAR - SLACK of the coordinates are not verified: at 0.8, 1 in 100,000.
-SLACK = 0.2
+#: Counters that tell common shingles from rare ones; only the order of a prefix depends on them, never a result.
+SLOTS = 2**18
 CHUNK = 1_000_000
 CHUNK_DOCS = 400
 
@@ -116,7 +116,7 @@ def small_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def band_rows(docs: DataFrame, text: str, width: int, counted: bool, bands: int, rows: int) -> DataFrame:
-    """``key`` of each distinct text with words, its signature (32 bits a dart) and the hash of each band of it."""
+    """``key`` of each distinct text with words, and the hash of each band of its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_chunks(batches):
@@ -128,13 +128,11 @@ def band_rows(docs: DataFrame, text: str, width: int, counted: bool, bands: int,
             some = n > 0
             values = pa.array(hashed[some].ravel().view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(some.sum() + 1) * bands, pa.int32()), values)
-            marks = pa.array((signed[some] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32).ravel())
-            signature = pa.ListArray.from_arrays(pa.array(np.arange(some.sum() + 1) * bands * rows, pa.int32()), marks)
-            yield pa.RecordBatch.from_pydict({"key": batch.column("key").filter(pa.array(some)), "bands": lists, "signature": signature})
+            yield pa.RecordBatch.from_pydict({"key": batch.column("key").filter(pa.array(some)), "bands": lists})
 
     keyed = docs.select(text_key(text).alias("key"), F.col(text).alias("text"))
-    signed = map_batches(keyed, run, "key binary, bands array<bigint>, signature array<int>")
-    return signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    signed = map_batches(keyed, run, "key binary, bands array<bigint>")
+    return signed.groupBy("key").agg(F.first("bands").alias("bands"))
 
 
 def shingle_rows(docs: DataFrame, keys: DataFrame, text: str, width: int, counted: bool) -> DataFrame:
@@ -160,54 +158,97 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return both.where(shared >= F.lit(similar) * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
 
 
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How often shingles occur over all sets, by SLOTS counters that several shingles may share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            counts += np.bincount(batch.column("shingles").flatten().to_numpy().view(np.uint64) % np.uint64(SLOTS), minlength=SLOTS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(used, pa.int32()), "n": pa.array(counts[used], pa.int64())})
+
+    summed = map_batches(sets.select("shingles"), run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[summed["slot"]] = summed["n"]  # one row per counter
+    return counts
+
+
+def prefixes(sets: DataFrame, similar: float) -> DataFrame:
+    """The rarest shingles of each set (``key``, ``label``, ``shingles``), as many as a set that is similar enough cannot all lack.
+
+    All sets order their shingles alike, rare ones first. Two sets with |x & y| >= similar * |x | y| share a shingle among the
+    first |x| - ceil(similar |x|) + 1 of the larger and the first |y| - ceil(2 similar / (1 + similar) |y|) + 1 of the smaller one
+    (``narrow``). So sets that have only a common passage do not meet.
+    """
+    counts = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = counts.value
+        for batch in batches:
+            lists = batch.column("shingles")
+            n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            flat = lists.flatten().to_numpy().view(np.uint64)
+            owner = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((flat, common[flat % np.uint64(SLOTS)], owner))
+            flat, place = flat[order], ramps(n)
+            size = n[owner]
+            # a little longer where rounding could make them too short
+            keep = place < size - np.ceil(similar * size - 1e-9) + 1
+            narrow = place < size - np.ceil(2 * similar / (1 + similar) * size - 1e-9) + 1
+            own = owner[keep]
+            columns = {"shingle": pa.array(flat[keep].view(np.int64)), "key": batch.column("key").take(pa.array(own)), "label": batch.column("label").take(pa.array(own))}
+            yield pa.RecordBatch.from_pydict(columns | {"size": pa.array(size[keep]), "narrow": pa.array(narrow[keep])})
+
+    return map_batches(sets.select("key", "label", "shingles"), run, "shingle bigint, key binary, label binary, size bigint, narrow boolean")
+
+
+def meetings(rows: DataFrame, similar: float) -> DataFrame:
+    """Pairs (``a``, ``b``) of ``prefixes`` with different labels that may be similar enough."""
+    groups = stored(rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("shingle"))
+    rest = stored(rows.join(groups, "shingle", "left_semi"))
+    x, y = rest.alias("x"), rest.where("narrow").alias("y")
+    longer = F.struct(F.col("x.size"), F.col("x.key")) > F.struct(F.col("y.size"), F.col("y.key"))
+    fits = F.col("y.size") >= F.lit(similar) * F.col("x.size") - 1e-9
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & longer & fits)
+    return met.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+
+
 def links(docs: DataFrame, text: str = "text", width: int = WIDTH, similar: float = SIMILAR, counted: bool = False, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Components of distinct texts (``key``, ``label``) linked by similarity; texts without a link are left out.
 
     Texts that share a bucket are candidates. First each is compared with the leader of its bucket, the text that shares
-    the most buckets with others. Buckets whose texts
-    are then one component are settled: no further link can matter. In the others more and more leaders, in the end all,
-    are compared with the texts of other components, so no candidate is lost, however large a bucket is, and a bucket of
-    copies costs no more than its size.
+    the most buckets with others. Buckets whose texts are then one component are settled: no further link can matter. The
+    texts of all other buckets meet on their rarest shingles (``prefixes``), which loses no pair that is similar enough, and
+    those of different components are verified. So copies cost no more than their number, and texts that only have a
+    passage in common never meet.
     """
     signed = stored(band_rows(docs, text, width, counted, bands, rows))
-    members = signed.select("key", F.explode("bands").alias("bucket"))
-    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    members = stored(join_groups(members, buckets, "bucket", "n", "inner"))
+    shared = signed.select("key", F.explode("bands").alias("bucket"))
+    buckets = stored(shared.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    members = stored(join_groups(shared, buckets, "bucket", "n", "inner"))
+    released(signed, buckets)
     # An original shares more buckets with its copies than these do among themselves, so it leads all that it is in.
     company = members.groupBy("key").agg(F.sum("n").alias("company"))
     best = F.max_by("key", F.struct("company", "key")).alias("leader")
     leading = stored(members.join(company, "key").groupBy("bucket").agg(best, F.max("n").alias("n")))
     met = join_groups(members.select("bucket", "key"), leading, "bucket", "n", "inner")
     sets = stored(shingle_rows(docs, stored(members.select("key").distinct()), text, width, counted))
-
-    def ordered(x: str, y: str) -> tuple[Column, Column]:
-        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
-
-    tested = stored(met.where("key != leader").select(*ordered("leader", "key")).distinct())
+    tested = stored(met.where("key != leader").select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b")).distinct())
+    released(leading)
     labels = components(verified(tested, sets, similar))
-    leaders = 8
-    while True:
-        placed = stored(members.join(labels, "key", "left").select("bucket", "key", "n", F.coalesce("label", "key").alias("label")))
-        open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket")
-        share = F.pmod(F.xxhash64("key", "bucket"), F.lit(2**20)) * F.col("n") < F.lit(leaders * 2**20)
-        rest = placed.join(open_, "bucket", "left_semi").withColumn("leads", share)
-        # Two texts meet in the first of the buckets that they share, and there once.
-        rest = stored(rest.join(signed, "key"))
-        heads = rest.where("leads").select("bucket", F.col("key").alias("head"), F.col("label").alias("head_label"), F.col("bands").alias("head_bands"), F.col("signature").alias("head_signature"))
-        agree = F.size(F.filter(F.zip_with("signature", "head_signature", lambda x, y: x == y), lambda same: same))
-        near = agree >= F.lit(int((similar - SLACK) * bands * rows))
-        first = F.col("r.bucket") == F.array_min(F.array_intersect("bands", "head_bands"))
-        new = (F.col("label") != F.col("head_label")) & ((F.col("head") < F.col("key")) | ~F.col("leads"))
-        met = rest.alias("r").join(heads.alias("h"), (F.col("r.bucket") == F.col("h.bucket")) & new & first & near)
-        fresh = stored(met.select(*ordered("head", "key")).join(tested, ["a", "b"], "left_anti"))
-        found = stored(verified(fresh, sets, similar))
-        if not found.isEmpty():
-            labels = joined(labels, found)
-        tested = tested.union(fresh)
-        most = rest.agg(F.max("n")).first()[0] or 0
-        if leaders >= most:
-            return labels
-        leaders *= 16
+    placed = stored(members.join(labels, "key", "left").select("bucket", "key", F.coalesce("label", "key").alias("label")))
+    released(members)
+    open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("bucket")
+    unsettled = stored(placed.join(open_, "bucket", "left_semi").select("key", "label").distinct())
+    few = stored(sets.join(unsettled, "key"))
+    released(placed)
+    fresh = stored(meetings(stored(prefixes(few, similar)), similar).join(tested, ["a", "b"], "left_anti"))
+    found = stored(verified(fresh, few, similar))
+    if not found.isEmpty():
+        labels = joined(labels, found)
+    released(sets, tested, unsettled, few, fresh)
+    return labels
 
 
 def classes(docs: DataFrame, id: str, text: str, **options) -> tuple[DataFrame, DataFrame]:
