@@ -330,3 +330,36 @@ def test_added_spans_keep_the_base_and_pass_held_out_cases(spark):
     assert not any(brute_spans(r.redacted or "") for r in clean.collect())
     assert pii.redacted("a b@c.d e", [("email", 2, 7)]) == "a [EMAIL] e" and pii.redacted(None, []) is None
     assert pii.find(docs.limit(0), pii.train(docs.limit(0))).count() == 0
+
+
+# --- long runs and odd columns
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "=", " ", "0", "ab", "é", "\n", "漢", "-"]), st.integers(1, 700)), min_size=1, max_size=6))
+def test_bpe_of_long_runs(reference, runs):
+    theirs, ours = reference
+    text = "".join(c * n for c, n in runs)
+    assert ours.encode([text])[0].tolist() == theirs.encode_ordinary(text)
+
+
+def test_bpe_of_very_long_unbroken_texts(reference):
+    theirs, ours = reference
+    rng = random.Random(1)
+    for text in ("a" * 200_000, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "=" * 100_000):
+        assert ours.encode([text])[0].tolist() == theirs.encode_ordinary(text)
+
+
+def test_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b@c.org", "x", [1], 7, "s", "r"), (2, None, None, None, None, None, None)],
+                                 "doc_id bigint, text string, `my col` string, token_ids array<int>, n_tokens int, spans string, redacted string")
+    coded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    assert sorted(coded.columns) == sorted(docs.columns) and {r["my col"] for r in coded.collect()} == {"x", None}
+    found = pii.find(docs, {})
+    assert len(set(found.columns)) == len(found.columns) and {r["spans"] for r in found.collect()} == {"email:2:9", ""}
+    clean = pii.find(docs, {}, redact=True, into="_tg_redacted")
+    assert {(r["redacted"], r["_tg_redacted"]) for r in clean.collect()} == {("r", "a [EMAIL]"), (None, None)}
+    import corpus_pipeline
+
+    kept = corpus_pipeline.encode_tokens(spark, corpus_pipeline.redact_personal(spark, docs.withColumn("n_chars", F.lit(9).cast("bigint")), ""), "")
+    assert {r["my col"] for r in kept.collect()} == {"x", None} and len(set(kept.columns)) == len(kept.columns)

@@ -11,7 +11,10 @@ DEPTH = 3
 
 @dataclass
 class Trees:
-    """Full trees: per tree 7 splits (feature, bin) and 8 leaves; ``scale`` and ``shift`` calibrate the margin."""
+    """Full trees: per tree 7 splits (feature, bin) and 8 leaves; ``scale`` and ``shift`` calibrate the margin.
+
+    ``threshold`` is the least probability at which the calibration rows were as precise as asked.
+    """
 
     start: float = 0.0
     edges: list[np.ndarray] = field(default_factory=list)
@@ -20,6 +23,7 @@ class Trees:
     leaf: list[np.ndarray] = field(default_factory=list)
     scale: float = 1.0
     shift: float = 0.0
+    threshold: float = 1.0
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(self.edges)], axis=1)
@@ -35,21 +39,27 @@ class Trees:
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * self.margin(x) + self.shift, -30, 30)))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Fit scale and shift on rows that the trees have not seen (Newton steps of a logistic fit, lightly held back)."""
+    def calibrate(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, precision: float) -> None:
+        """Fit scale and shift on rows that the trees have not seen (Newton steps of a logistic fit, lightly held back), and set the threshold."""
         m = self.margin(x)
         a, b = 1.0, 0.0
         target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(a * m + b, -30, 30)))
-            w = p * (1 - p) + 1e-6
-            g = np.array([((p - target) * m).sum() + 1e-2 * (a - 1), (p - target).sum()])
+            w = weight * p * (1 - p) + 1e-6
+            g = np.array([(weight * (p - target) * m).sum() + 1e-2 * (a - 1), (weight * (p - target)).sum()])
             h = np.array([[(w * m * m).sum() + 1e-2, (w * m).sum()], [(w * m).sum(), w.sum()]])
             step = np.linalg.solve(h, g)
             a, b = a - step[0], b - step[1]
             if np.abs(step).max() < 1e-8:
                 break
         self.scale, self.shift = float(a), float(b)
+        order = np.argsort(-m, kind="stable")
+        right, all_ = np.cumsum((weight * y)[order]), np.cumsum(weight[order])
+        # rows of one margin stand or fall together
+        last = np.append(np.diff(m[order]) != 0, True)
+        good = np.flatnonzero(last & (right >= precision * all_))
+        self.threshold = float(self.probability(x[order[good[-1:]]])[0]) if len(good) else float("inf")
 
 
 def _walk(code: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
@@ -59,9 +69,9 @@ def _walk(code: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return node - (2**DEPTH - 1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, rate: float = 0.2, bins: int = 24) -> Trees:
-    """Trees for 0/1 labels."""
-    model = Trees(float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))))
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, trees: int = 40, rate: float = 0.2, bins: int = 24) -> Trees:
+    """Trees for 0/1 labels of weighted rows."""
+    model = Trees(float(np.log(((weight * y).sum() + 0.5) / ((weight * (1 - y)).sum() + 0.5))))
     model.edges = [np.unique(np.quantile(x[:, j], np.arange(1, bins) / bins)) for j in range(x.shape[1])]
     code = model.codes(x)
     width = max(map(len, model.edges)) + 1
@@ -69,7 +79,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, rate: float = 0.2, bins:
     inner, rows = 2**DEPTH - 1, np.arange(len(y))
     for _ in range(trees):
         p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-        g, h = y - p, p * (1 - p)
+        g, h = weight * (y - p), weight * p * (1 - p)
         feature, cut = np.zeros(inner, np.int64), np.full(inner, width, np.int64)
         node = np.zeros(len(y), np.int64)
         for level in range(DEPTH):

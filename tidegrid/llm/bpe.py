@@ -2,7 +2,7 @@
 
 All pieces of a block lie behind each other as one array of token ids. An inverted index from merge rank to the places of
 its pairs is kept in a heap; each step takes the lowest rank, merges its leftmost pair in every piece that has one, and
-looks up the two new neighbour pairs of each merge, nothing else.
+looks up the two new neighbour pairs of each merge, nothing else. Long pieces have a heap of their own.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 from tidegrid.llm.common import chunks, map_batches
 from tidegrid.llm.pieces import Pieces, Ragged
@@ -50,6 +51,7 @@ class Merges:
             for k in range(1, len(t))
             if t[:k] in ranks and t[k:] in ranks
         }
+        self.ranks = pairs
         self.pair = np.array(sorted(pairs), np.int64)
         self.rank = np.array([pairs[p] for p in self.pair.tolist()], np.int32)
 
@@ -60,8 +62,8 @@ class Merges:
         return np.where(self.pair[at] == wanted, self.rank[at], NONE)
 
 
-def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all pieces behind each other, and the number of ids of each piece."""
+def replay_block(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """The same for pieces of bounded length, all at once."""
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     raw = np.frombuffer(b"".join(pieces), np.uint8)
     n = len(raw)
@@ -127,6 +129,55 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
     return token[:n][left], np.bincount(owner[left], minlength=len(pieces)).astype(np.int64)
 
 
+#: Pieces of more bytes than this are merged one by one, by a heap of their own pairs.
+LONG = 256
+
+
+def replay_long(piece: bytes, merges: Merges) -> list[int]:
+    """Token ids of one long piece: its pairs in a heap by rank and place, linked neighbours, n log n steps."""
+    token = merges.of_byte[np.frombuffer(piece, np.uint8)].tolist()
+    n = len(token)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    ranks = merges.ranks
+    size = merges.size
+    heap = [(r, k) for k in range(n - 1) if (r := ranks.get(token[k] * size + token[k + 1])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        r, k = heapq.heappop(heap)
+        nxt = after[k]
+        # A pair that was changed or merged away since it was entered is stale.
+        if token[k] < 0 or nxt >= n or ranks.get(token[k] * size + token[nxt]) != r:
+            continue
+        token[k], token[nxt] = r, -1
+        beyond = after[nxt]
+        after[k] = beyond
+        if beyond < n:
+            before[beyond] = k
+            if (right := ranks.get(r * size + token[beyond])) is not None:
+                heapq.heappush(heap, (right, k))
+        left = before[k]
+        if left >= 0 and (own := ranks.get(token[left] * size + r)) is not None:
+            heapq.heappush(heap, (own, left))
+    return [t for t in token if t >= 0]
+
+
+def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all pieces behind each other, and the number of ids of each piece."""
+    long = [k for k, p in enumerate(pieces) if len(p) > LONG]
+    if not long:
+        return replay_block(pieces, merges)
+    # A step of the block merges one place in each piece, which would take a long run of one character a step for each.
+    flat, n = replay_block([b"" if len(p) > LONG else p for p in pieces], merges)
+    own = {k: replay_long(pieces[k], merges) for k in long}
+    starts = np.cumsum(n) - n
+    parts, at = [], 0
+    for k in long:
+        parts += [flat[at : starts[k]], np.array(own[k], flat.dtype)]
+        at = starts[k]
+        n[k] = len(own[k])
+    return np.concatenate([*parts, flat[at:]]), n
+
+
 @lru_cache(maxsize=1)
 def _compiled(pattern: str):
     import regex
@@ -184,15 +235,22 @@ def encode(
 ) -> DataFrame:
     """``docs`` with the token ids of each whole text in column ``ids``.
 
-    Every match of ``pattern`` is encoded by itself, without special tokens. Null and empty texts have no ids. Rows stay one
-    by one, repeated or not, and keep the columns ``keep`` (default: all). With ``digests`` the ids are decoded again, and
-    the digests of the decimal ids and of the decoded bytes stand beside their number; ``ids`` None leaves the ids out.
+    Every match of ``pattern`` is encoded by itself, without special tokens; the pattern must begin a new match at a space
+    behind a visible character. Null and empty texts have no ids. Rows stay one by one, repeated or not, and keep the
+    columns ``keep`` (default: all), whatever their names; one named like a result is replaced. With ``digests`` the ids are
+    decoded again, and the digests of the decimal ids and of the decoded bytes stand beside their number; ``ids`` None
+    leaves the ids out. An empty table stays empty.
     """
     spark = docs.sparkSession
     vocabulary = spark.sparkContext.broadcast(load_ranks(spark, ranks))
-    keep = docs.columns if keep is None else keep
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("text"))
-    out = "n_tokens bigint" + ", ids array<int>" * (ids is not None) + ", ids_sha256 string, decoded_sha256 string" * digests
+    made = ["n_tokens"] + [ids] * (ids is not None) + ["ids_sha256", "decoded_sha256"] * digests
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    rows = docs.select(F.struct(F.lit(0).alias("_tg"), *[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{text}`").alias("text"))
+    schema = StructType().add("row", rows.schema["row"].dataType).add("n_tokens", LongType())
+    if ids is not None:
+        schema = schema.add("ids", ArrayType(IntegerType()))
+    if digests:
+        schema = schema.add("ids_sha256", StringType()).add("decoded_sha256", StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(ranks, pattern, vocabulary.value)
@@ -212,15 +270,17 @@ def encode(
                 columns |= {"ids_sha256": pa.array(listed, pa.string()), "decoded_sha256": pa.array(coded, pa.string())}
             yield pa.RecordBatch.from_pydict(columns)
 
-    kind = rows.schema["row"].dataType.simpleString()
-    coded = map_batches(rows, run, f"row {kind}, {out}")
+    coded = map_batches(rows, run, schema)
     own = [F.col(f"row.`{c}`").alias(c) for c in keep]
-    made = ([] if ids is None else [F.col("ids").alias(ids)]) + ["ids_sha256", "decoded_sha256"] * digests
-    return coded.select(*own, "n_tokens", *made)
+    return coded.select(*own, "n_tokens", *[F.col("ids").alias(c) if c == ids else F.col(c) for c in made[1:]])
 
 
 def decode(coded: DataFrame, ranks: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
-    """``coded`` with the text of column ``ids`` beside it; a null list stays null."""
+    """``coded`` with the text of column ``ids`` beside it (a column of that name is replaced).
+
+    A null list stays null, an empty one is an empty text; an id that is not in the vocabulary stops the query, bytes that are
+    not UTF-8 become the replacement character. Rows stay one by one, an empty table stays empty.
+    """
     vocabulary = coded.sparkSession.sparkContext.broadcast(load_ranks(coded.sparkSession, ranks))
 
     @F.pandas_udf("string")
@@ -229,4 +289,4 @@ def decode(coded: DataFrame, ranks: str, ids: str = "token_ids", text: str = "de
         join = lambda own: None if own is None else b"".join(tokens[i] for i in own).decode("utf-8", "replace")
         return lists.map(join)
 
-    return coded.withColumn(text, texts(F.col(ids)))
+    return coded.withColumn(text, texts(F.col(f"`{ids}`")))
