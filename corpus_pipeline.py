@@ -31,8 +31,8 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; ``n_chars`` follows the text."""
-    found = pii.find(docs, pii.train(docs), redact=True)
-    new = {"text": F.col("redacted"), "n_chars": F.char_length("redacted").cast("bigint")}
+    found = pii.find(docs, pii.train(docs), redact=True, into="_tg_redacted")
+    new = {"text": F.col("_tg_redacted"), "n_chars": F.char_length("_tg_redacted").cast("bigint")}
     return found.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
