@@ -198,19 +198,24 @@ def prefixes(sets: DataFrame, similar: float) -> DataFrame:
             narrow = place < size - np.ceil(2 * similar / (1 + similar) * size - 1e-9) + 1
             own = owner[keep]
             columns = {"shingle": pa.array(flat[keep].view(np.int64)), "key": batch.column("key").take(pa.array(own)), "label": batch.column("label").take(pa.array(own))}
-            yield pa.RecordBatch.from_pydict(columns | {"size": pa.array(size[keep]), "narrow": pa.array(narrow[keep])})
+            yield pa.RecordBatch.from_pydict(columns | {"size": pa.array(size[keep]), "left": pa.array((size - place)[keep]), "narrow": pa.array(narrow[keep])})
 
-    return map_batches(sets.select("key", "label", "shingles"), run, "shingle bigint, key binary, label binary, size bigint, narrow boolean")
+    return map_batches(sets.select("key", "label", "shingles"), run, "shingle bigint, key binary, label binary, size bigint, left bigint, narrow boolean")
 
 
 def meetings(rows: DataFrame, similar: float) -> DataFrame:
-    """Pairs (``a``, ``b``) of ``prefixes`` with different labels that may be similar enough."""
+    """Pairs (``a``, ``b``) of ``prefixes`` with different labels that may be similar enough.
+
+    At the first shingle that two sets share they can share no more than what is ``left`` of either, that shingle with it; a
+    pair for which that is too little is left out there. Whether it meets again further on does not matter.
+    """
     groups = stored(rows.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("shingle"))
     rest = stored(rows.join(groups, "shingle", "left_semi"))
     x, y = rest.alias("x"), rest.where("narrow").alias("y")
     longer = F.struct(F.col("x.size"), F.col("x.key")) > F.struct(F.col("y.size"), F.col("y.key"))
     fits = F.col("y.size") >= F.lit(similar) * F.col("x.size") - 1e-9
-    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & longer & fits)
+    enough = F.least("x.left", "y.left") >= F.lit(similar / (1 + similar)) * (F.col("x.size") + F.col("y.size")) - 1e-9
+    met = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & longer & fits & enough)
     return met.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
 
 
