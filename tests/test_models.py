@@ -177,3 +177,20 @@ def test_horizon_by_one_model_and_by_step(gold):
         assert [r["step"] for r in rows] == [1, 2, 3]
         assert [r["prediction_for"] - r["based_on_data_until"] for r in rows] == [timedelta(hours=h) for h in (1, 2, 3)]
         assert all(1500 < r["predicted_value"] < 2700 for r in rows)
+
+
+def test_resampled_band_covers_and_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for h in range(24 * 60):
+        t = T0 + timedelta(hours=h)
+        rows.append((t, float(rng.normal(0, 1 + h % 24)), 0.0))  # the spread grows with the hour of the day
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, label double, prediction double")
+    half = T0 + timedelta(hours=24 * 30)
+    val, test = df.where(F.col("datetime") < half), df.where(F.col("datetime") >= half)
+    band = training.bootstrap_band(test, val).orderBy("datetime").collect()
+    again = training.bootstrap_band(test.repartition(7), val.repartition(13)).orderBy("datetime").collect()
+    assert [(r["lower"], r["upper"]) for r in band] == [(r["lower"], r["upper"]) for r in again]
+    assert 0.85 <= np.mean([r["lower"] <= r["label"] <= r["upper"] for r in band]) <= 1.0
+    width = {r["datetime"].hour: r["upper"] - r["lower"] for r in band}
+    assert len({(r["datetime"].hour, r["upper"]) for r in band}) == 24 and width[23] > 5 * width[0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler
@@ -198,6 +199,45 @@ def prediction_band(
     ).drop("residual_low", "residual_high")
 
 
+#: The Poisson distribution with mean 1, summed up: how often a row enters a resample.
+POISSON = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676)
+
+
+def resampled(rows: DataFrame, by: Sequence[str], replicates: int) -> DataFrame:
+    """Rows as often as a Poisson bootstrap draws them, with the number of the ``replicate``.
+
+    The draws are hashes of the columns ``by``, so they do not depend on how the rows are spread over tasks.
+    """
+    unit = F.pmod(F.xxhash64(*by, "replicate"), F.lit(2**40)) / F.lit(float(2**40))
+    times = reduce(lambda a, b: a + b, [F.when(unit > share, 1).otherwise(0) for share in POISSON])
+    drawn = rows.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("__times", times)
+    return drawn.where("__times > 0").withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__again", "__times")
+
+
+def bootstrap_band(
+    scored: DataFrame,
+    validation: DataFrame,
+    level: float = BAND_LEVEL,
+    replicates: int = 10,
+    keys: Sequence[str] = (),
+    ts: str = "datetime",
+) -> DataFrame:
+    """Add lower and upper: the point plus residual quantiles of the same hour of the day, averaged over resampled validation rows.
+
+    All replicates are drawn and ranked in one pass. Hours that validation does not have take the quantiles of all its hours.
+    """
+    tail = (1.0 - level) / 2.0
+    residual = validation.select(*keys, ts, F.hour(ts).alias("__hour"), (F.col("label") - F.col("prediction")).alias("residual"))
+    drawn = resampled(residual, [*keys, ts], replicates)
+    marks = exact_percentiles(drawn, "residual", [tail, 1.0 - tail], ["__hour", "replicate"])
+    by_hour = marks.groupBy("__hour").agg(F.avg("p0").alias("__low"), F.avg("p1").alias("__high"))
+    every = exact_percentiles(residual, "residual", [tail, 1.0 - tail])
+    out = with_scalars(scored.withColumn("__hour", F.hour(ts)).join(F.broadcast(by_hour), "__hour", "left"), every)  # 24 rows
+    point = F.col("prediction")
+    bounds = {"lower": point + F.coalesce("__low", "p0"), "upper": point + F.coalesce("__high", "p1")}
+    return out.withColumns(bounds).drop("__hour", "__low", "__high", "p0", "p1")
+
+
 def predict_with_metadata(
     fitted: Fitted,
     df: DataFrame,

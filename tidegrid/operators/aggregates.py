@@ -8,71 +8,86 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegrid.functions import errors
-from tidegrid.operators.joins import with_series_stats
+from tidegrid.operators.joins import join_stats, with_scalars, with_series_stats
 from tidegrid.operators.segments import UNIT, framed, quoted
 
 TREND_PERCENT = 1.0
 DIGEST = 10000
+BUCKETS = 4096
 
 
 def exact_percentiles(df: DataFrame, col: str, levels: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """Exact interpolated percentiles per series, named ``p0``, ``p1``, ... in the order of ``levels``.
 
-    The built-in exact percentile keeps all distinct values of a group in one buffer. Here a quantile sketch (bounded
-    size, merged map-side) brackets each wanted rank, one pass counts what lies below the bracket, and only the values
-    inside brackets - pre-aggregated by value, a few ten-thousandths of the series - are ranked.
+    The built-in exact percentile keeps all distinct values of a group in one buffer. Here the wanted rank is searched for by
+    counting: a quantile sketch (bounded size, merged map-side) brackets it, one pass counts the values below the bracket and
+    in BUCKETS equal parts of it, and only the values of the one part that holds the rank, some n * 6 / DIGEST / BUCKETS of
+    n, are ranked, pre-aggregated by value. All passes combine before they shuffle, and a hot series is counted where its
+    rows are.
     """
     slack = 3.0 / DIGEST
-    values = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__v"))
-    by = ["__k"] if keys else []
-    if keys:
-        values = values.withColumn("__k", F.struct(*keys))
+    values = df.where(F.col(col).isNotNull()).select((F.struct(*keys) if keys else F.struct(F.lit(0))).alias("__k"), F.col(col).cast("double").alias("__v"))
     wanted = [q for level in levels for q in (max(0.0, level - slack), min(1.0, level + slack))]
-    sketch = values.groupBy(*by).agg(
+    sketch = values.groupBy("__k").agg(
         F.percentile_approx("__v", wanted, DIGEST).alias("__q"),
         F.min("__v").alias("__min"),
         F.max("__v").alias("__max"),
         F.count(F.lit(1)).alias("__n"),
     )
-    places, out = [], []
-    for j, level in enumerate(levels):
-        lo = F.lit(level) * (F.col("__n") - 1)
-        # Short series are ranked whole: the sketch holds them anyway and rounding of ranks could slip.
-        small = F.col("__n") <= DIGEST
-        places.append(
-            F.struct(
-                F.lit(j).alias("j"),
-                F.floor(lo).alias("r0"),
-                F.ceil(lo).alias("r1"),
-                (lo - F.floor(lo)).alias("w"),
-                F.when(small, F.col("__min")).otherwise(F.col("__q")[2 * j]).alias("low"),
-                F.when(small, F.col("__max")).otherwise(F.col("__q")[2 * j + 1]).alias("high"),
-            )
+    # Short series are searched whole: the sketch holds them anyway and rounding of ranks could slip.
+    small = F.col("__n") <= DIGEST
+    places = [
+        F.struct(
+            F.lit(j).alias("j"),
+            F.floor(F.lit(level) * (F.col("__n") - 1)).alias("r0"),
+            F.ceil(F.lit(level) * (F.col("__n") - 1)).alias("r1"),
+            (F.lit(level) * (F.col("__n") - 1) - F.floor(F.lit(level) * (F.col("__n") - 1))).alias("w"),
+            F.when(small, F.col("__min")).otherwise(F.col("__q")[2 * j]).alias("low"),
+            F.when(small, F.col("__max")).otherwise(F.col("__q")[2 * j + 1]).alias("high"),
         )
-    brackets = sketch.select(*by, F.array(*places).alias("__b"))
-    if keys:
-        values = values.join(brackets, "__k")
-    else:
-        values = values.withColumn("__b", brackets.scalar())
-    joined = values.select(*by, "__v", F.explode("__b").alias("b"))
-    # All values below a bracket collapse into one pseudo-row (NULL value) before the shuffle.
-    inside = F.when(F.col("__v") >= F.col("b.low"), F.col("__v"))
-    counted = joined.where(F.col("__v") <= F.col("b.high")).groupBy(*by, "b", inside.alias("v")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    upto = F.sum("c").over(Window.partitionBy(*by, "b.j").orderBy(F.col("v").asc_nulls_first()))
-    ranked = counted.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("c"))
+        for j, level in enumerate(levels)
+    ]
+    brackets = sketch.select("__k", "__n", F.array(*places).alias("__b"))
+
+    def attached(rows: DataFrame, stats: DataFrame) -> DataFrame:
+        if keys:
+            return join_stats(rows, stats, "__k", "__n")
+        return with_scalars(rows, stats.drop("__k"))
+
+    near = attached(values, brackets).select("__k", "__n", "__v", F.explode("__b").alias("b"))
+    share = F.try_divide(F.col("__v") - F.col("b.low"), F.col("b.high") - F.col("b.low"))
+    part = F.when(F.col("__v") < F.col("b.low"), F.lit(-1)).otherwise(F.least(F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS), F.lit(BUCKETS - 1)))
+    near = near.where(F.col("__v") <= F.col("b.high")).withColumn("part", part)
+    counted = near.groupBy("__k", "__n", "b", "part").agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("first"), F.max("__v").alias("last"))
+    # At most BUCKETS + 1 rows of a series and level meet in this window.
+    upto = F.sum("c").over(Window.partitionBy("__k", "b.j").orderBy("part"))
+    placed = counted.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("c"))
 
     def holds(rank: Column) -> Column:
         return (F.col("below") <= rank) & (rank < F.col("upto"))
 
-    for j in range(len(levels)):
-        here = F.col("b.j") == j
-        low = F.max(F.when(here & holds(F.col("b.r0")), F.col("v")))
-        high = F.max(F.when(here & holds(F.col("b.r1")), F.col("v")))
-        w = F.max(F.when(here, F.col("b.w")))
-        out.append((low + (high - low) * w).alias(f"p{j}"))
-    result = ranked.groupBy(*by).agg(*out)
+    # A part that holds only one of the two ranks holds the lower one as its last value, or the upper one as its first.
+    low, high = holds(F.col("b.r0")), holds(F.col("b.r1"))
+    chosen = placed.where(low | high).groupBy("__k", "__n", "b").agg(
+        F.max(F.when(low & (~high | (F.col("first") == F.col("last"))), F.col("last"))).alias("v0"),
+        F.max(F.when(high & (~low | (F.col("first") == F.col("last"))), F.col("first"))).alias("v1"),
+        F.max(F.when(low & high, F.col("part"))).alias("inside"),
+        F.max(F.when(low & high, F.col("below"))).alias("before"),
+    )
+    # Values of the parts that hold both ranks and more than one value.
+    chosen_parts = F.collect_list(F.struct(F.col("b.j").alias("j"), "inside", "before")).alias("parts")
+    open_ = chosen.where("v0 IS NULL").groupBy("__k", *(["__n"] if keys else [])).agg(chosen_parts)
+    met = attached(near.drop("__n"), open_).withColumn("p", F.explode("parts"))
+    met = met.where((F.col("p.j") == F.col("b.j")) & (F.col("p.inside") == F.col("part")))
+    tallied = met.groupBy("__k", F.col("b.j").alias("j"), F.col("b.r0").alias("r0"), F.col("b.r1").alias("r1"), F.col("p.before").alias("before"), "__v").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.col("before") + F.sum("c").over(Window.partitionBy("__k", "j").orderBy("__v"))
+    ranked = tallied.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("c"))
+    fine = ranked.groupBy("__k", "j").agg(
+        F.max(F.when(holds(F.col("r0")), F.col("__v"))).alias("f0"), F.max(F.when(holds(F.col("r1")), F.col("__v"))).alias("f1")
+    )
+    both = chosen.select("__k", F.col("b.j").alias("j"), F.col("b.w").alias("w"), "v0", "v1").join(fine, ["__k", "j"], "left")
+    one = F.coalesce("v0", "f0") + (F.coalesce("v1", "f1") - F.coalesce("v0", "f0")) * F.col("w")
+    result = both.groupBy("__k").agg(*[F.max(F.when(F.col("j") == j, one)).alias(f"p{j}") for j in range(len(levels))])
     return result.select(*[F.col("__k")[k].alias(k) for k in keys], *[f"p{j}" for j in range(len(levels))])
 
 

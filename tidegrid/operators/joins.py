@@ -66,10 +66,29 @@ def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("__s", row).select(*df.columns, *[F.col("__s")[c].alias(c) for c in one_row.columns])
 
 
+#: A series is hot when it holds more than one in HOT of all rows, so there are at most HOT of them.
+HOT = 1000
+
+
+def join_stats(rows: DataFrame, stats: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` with the statistics of their key; ``stats`` has one row per key, ``size`` its number of rows.
+
+    Hot keys are at most HOT by their share of all rows: only they are broadcast, so their rows stay where they are. All
+    others are shuffled, into partitions that no key can fill. ``key`` is one column without NULLs (a struct of the keys).
+    """
+    total = stats.agg(F.sum(size)).scalar()
+    hot = F.coalesce(F.col(size) * HOT > total, F.lit(False))
+    few = stats.where(hot)
+    flags = F.broadcast(few.select(key, F.lit(True).alias("__hot")))
+    marked = rows.join(flags, key, "left")
+    near = marked.where("__hot").drop("__hot").join(F.broadcast(few), key)
+    return near.unionByName(marked.where("__hot IS NULL").drop("__hot").join(stats.where(~hot), key))
+
+
 def with_series_stats(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
-    """Attach per-series aggregates. Partial aggregation comes first; AQE splits a hot series in the join."""
+    """Attach per-series aggregates. Partial aggregation comes first; a hot series is not shuffled in the join back."""
     if not keys:
         return with_scalars(df, df.agg(*aggs))
     group = F.struct(*keys)
-    stats = df.groupBy(group.alias("__k")).agg(*aggs)
-    return df.withColumn("__k", group).join(stats, "__k").drop("__k")
+    stats = df.groupBy(group.alias("__k")).agg(*aggs, F.count(F.lit(1)).alias("__size"))
+    return join_stats(df.withColumn("__k", group), stats, "__k", "__size").drop("__k", "__size")

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidegrid.operators.joins import with_scalars
+from tidegrid.operators.joins import join_stats, with_scalars
 from tidegrid.operators.segments import UNIT, framed, quoted
 from tidegrid.schemas import CANONICAL_REQUIRED, CORRUPT
 
@@ -75,7 +75,7 @@ def range_violations(df: DataFrame, rules: Limits = RANGE_RULES) -> DataFrame:
 def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.5, keys: Sequence[str] = ()) -> DataFrame:
     """Rows with |x - mean| > threshold * sample deviation for any column, per series.
 
-    Moments are partial-aggregated per series and joined back, so a hot series is never one task's window.
+    Moments are partial-aggregated per series and joined back; a hot series is neither one task's window nor shuffled.
     """
     moments = [f(F.col(c)).alias(f"__{n}_{c}") for c in cols for n, f in (("avg", F.avg), ("std", F.stddev_samp))]
     bad = None
@@ -84,8 +84,8 @@ def zscore_outliers(df: DataFrame, cols: Sequence[str], threshold: float = 3.5,
         bad = test if bad is None else bad | test
     if keys:
         group = F.struct(*keys)
-        stats = df.groupBy(group.alias("__k")).agg(*moments)
-        joined = df.withColumn("__k", group).join(stats, "__k")
+        stats = df.groupBy(group.alias("__k")).agg(*moments, F.count(F.lit(1)).alias("__size"))
+        joined = join_stats(df.withColumn("__k", group), stats, "__k", "__size")
     else:
         joined = with_scalars(df, df.agg(*moments))
     return joined.where(bad).select(*df.columns)

@@ -9,6 +9,7 @@ from tidegrid.plans import jobs, tables
 from tidegrid.plans.catalog import CANON, HOURLY, LOAD, USER_HOURLY, WEATHER, i, n, query, r, t
 from tidegrid.schemas import WEATHER_DOC
 from tidegrid.session import scratch_path
+from tidegrid.sources.footers import read_footers
 from tidegrid.sources import bronze, layers, sinks
 
 KINDS = ["view", "click", "signup", "error", "purchase"]
@@ -298,7 +299,19 @@ def _hourly_layer(spark, d) -> str:
 {n("count(DISTINCT date_part('hour', datetime) % 3)", 'file_count')}, 0::BIGINT AS hourly_files, false AS has_daily, {n('count(*)', 'row_count')} FROM load GROUP BY 1, 2, 3""",
 )
 def partition_inventory(spark, d):
-    return sinks.partition_inventory(layers.read_layer(spark, _hourly_layer(spark, d)))
+    return sinks.partition_inventory(spark, _hourly_layer(spark, d)).drop("byte_count")
+
+
+@query(
+    "file_bounds",
+    f"""WITH {LOAD} SELECT {n('count(*)', 'row_count')}, {n('sum((total_load IS NULL)::INT)', 'nulls')}, {r('min(total_load)', 'least')}, {r('max(total_load)', 'greatest')} FROM load""",
+)
+def file_bounds(spark, d):
+    """Rows, nulls and bounds of the load of a layer, out of the footers of its files."""
+    of = lambda name: F.col(name)["total_load"]
+    return read_footers(spark, _hourly_layer(spark, d)).agg(
+        F.sum("rows").alias("row_count"), F.sum(of("nulls")).alias("nulls"), F.min(of("low").cast("double")).alias("least"), F.max(of("high").cast("double")).alias("greatest")
+    )
 
 
 @query(
@@ -625,3 +638,42 @@ def job_daily_compaction_outage(spark, d):
     for on in ("2024-01-09", "2024-01-10", "2024-02-10", "2024-02-11"):
         jobs.daily_compaction(spark, f"{root}/silver", f"{root}/daily", f"{root}/hourly", on)
     return layers.load_canonical(spark, f"{root}/daily").select("datetime", "electricity_demand", "temperature")
+
+
+@query(
+    "silver_tables",
+    f"""WITH {WEATHER}, {LOAD} SELECT 'weather' AS signal, {n('count(*)', 'rows')}, {n('count(DISTINCT datetime)', 'hours')} FROM weather
+UNION ALL SELECT 'total_load', 2 * count(*)::BIGINT, count(DISTINCT datetime)::BIGINT FROM load""",
+)
+def silver_tables(spark, d):
+    """Cleaned rows appended to a table per signal, an empty batch among them, and all tables scanned lazily."""
+    root, load = scratch_path(spark, "silver"), tables.load(spark, d)
+    sinks.append_silver(tables.weather(spark, d), f"{root}/weather")
+    for batch in (load, load.limit(0), load):
+        sinks.append_silver(batch, f"{root}/total_load")
+    found = layers.read_silver(spark, root, ["weather", "total_load"])
+    counts = [F.count(F.lit(1)).alias("rows"), F.countDistinct("datetime").alias("hours")]
+    one, two = (df.agg(F.lit(name).alias("signal"), *counts) for name, df in found.items())
+    return one.unionByName(two)
+
+
+@query(
+    "model_documents",
+    f"""SELECT event_type AS version, {n('count(*)', 'samples')}, {r('avg(value)', 'rmse')} FROM events GROUP BY event_type""",
+)
+def model_documents(spark, d):
+    """Model metadata kept as one indented JSON document per version, as a table."""
+    root = scratch_path(spark, "documents")
+    rows = tables.events(spark, d).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("v"))
+    body = F.to_json(
+        F.struct(
+            F.lit("gbt").alias("model_type"),
+            F.col("event_type").alias("version"),
+            F.struct(F.col("n").alias("total_samples")).alias("training"),
+            F.create_map(F.lit("rmse"), F.col("v")).alias("metrics"),
+        ),
+        {"pretty": "true"},
+    )
+    rows.select("event_type", body.alias("value")).write.partitionBy("event_type").option("lineSep", "\n\n").text(root)
+    found = layers.read_model_documents(spark, root, "part-*")
+    return found.select("version", F.col("training.total_samples").alias("samples"), F.col("metrics")["rmse"].alias("rmse"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidegrid.functions import errors, labels, timeparts
-from tidegrid.operators import aggregates, features, joins, quality, ranking, windows
+from tidegrid.operators import aggregates, features, joins, paging, quality, ranking, windows
 from tidegrid.operators.compaction import union_dedup, union_files
 from tidegrid.plans import reports, tables
 from tidegrid.plans.catalog import CANON, GRID, HOURLY, KEYED_GRID, LOAD, USER_HOURLY, WEATHER, filled, i, n, query, r, t
+from tidegrid.session import scratch_path
 from tidegrid.sources import layers, sinks, spine
 
 KEY = ["event_type"]
@@ -818,6 +819,19 @@ def page(spark, d):
     return ranking.page(rows, 3, 100, ["ts", "event_id"])
 
 
+@query(
+    "page_by_fence",
+    f"SELECT page::INTEGER AS page, {n('event_id')}, {t('ts')}, {r('value')} FROM (SELECT *, (row_number() OVER (ORDER BY ts, event_id) - 1) // 100 + 1 AS page FROM events) WHERE page IN (1, 4, (SELECT (count(*) + 99) // 100 FROM events))",
+)
+def page_by_fence(spark, d):
+    """The first, the fourth and the last page of all events, each read from its own range."""
+    rows, root, order = tables.events(spark, d).select("event_id", "ts", "value"), scratch_path(spark, "ranges"), ["ts", "event_id"]
+    paging.write_ranges(rows, root, order, 16)
+    last = -(-rows.count() // 100)
+    pages = [paging.read_page(spark, root, number, 100, order).withColumn("page", F.lit(number)) for number in (1, 4, last)]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
 _SHARE = """shares AS (SELECT event_type AS feature, sum(value) AS w FROM events GROUP BY 1),
 importance AS (SELECT feature, w / (SELECT sum(w) FROM shares) AS importance FROM shares)"""
 
@@ -931,3 +945,35 @@ def report_key_drivers(spark, d):
 )
 def report_data_profile(spark, d):
     return reports.data_profile(tables.canonical(spark, d))
+
+
+@query("sort_time", f"WITH {HOURLY} SELECT row_number() OVER (ORDER BY event_type, datetime)::BIGINT AS place, event_type, {t('datetime')} FROM hourly")
+def sort_time(spark, d):
+    """All hours in total order, written and numbered by file and place in it: files follow each other in order."""
+    root = scratch_path(spark, "sorted")
+    ranking.sort_time(tables.hourly(spark, d), KEY).write.parquet(root)
+    rows = spark.read.parquet(root)
+    file, at = rows.metadataColumn("_metadata")["file_name"], F.monotonically_increasing_id()
+    numbered = rows.select(*KEY, "datetime", file.alias("file"), at.alias("at"))
+    # A file is one task here, so its rows are numbered in the order in which they are stored; files are few.
+    sizes = numbered.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = numbered.join(sizes.withColumn("before", before), "file")
+    return placed.select((F.col("at") - F.col("first") + F.col("before") + 1).alias("place"), *KEY, "datetime")
+
+
+@query("drop_null_target", f"WITH {HOURLY} SELECT event_type, {t('datetime')}, {r('total')} FROM hourly WHERE date_part('hour', datetime) != 3")
+def drop_null_target(spark, d):
+    rows = tables.hourly(spark, d).withColumn("total", F.when(F.hour("datetime") != 3, F.col("total")))
+    return quality.drop_null_target(rows.select(*KEY, "datetime", "total"), "total")
+
+
+@query("feature_strategy", f"WITH {HOURLY} SELECT event_type, {t('datetime')}, {r('total')}, {r('total * 2', 'doubled')} FROM hourly")
+def feature_strategy(spark, d):
+    """A named feature builder of one's own, looked up and used; its contract is checked."""
+    features.register_features("doubled", lambda df: df.withColumn("doubled", F.col("total") * 2))
+    if not features.has_features("doubled") or "doubled" not in features.list_features():
+        raise ValueError("the builder is not registered")
+    made = tables.hourly(spark, d).select(*KEY, "datetime", "total").transform(features.features("doubled"))
+    quality.check_features(made, ["total", "doubled"])
+    return made

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidegrid.session import cut_lineage
+from tidegrid.sources.footers import read_footers
 
 LEVELS = {"year": ("year",), "month": ("year", "month"), "day": ("year", "month", "day")}
 _FORMAT = {"year": "yyyy", "month": "MM", "day": "dd"}
@@ -94,21 +95,19 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def partition_inventory(
-    df: DataFrame, parts: Sequence[str] = LEVELS["day"], hourly: str = "_30", daily: str = "data"
+    spark: SparkSession, root: str, parts: Sequence[str] = LEVELS["day"], hourly: str = "_30", daily: str = "data"
 ) -> DataFrame:
-    """Files and rows per partition of a scanned layer; hourly files are ``HH_30.*``, daily ones ``data.*``.
+    """Files, rows and bytes per partition of a layer; hourly files are ``HH_30.*``, daily ones ``data.*``.
 
-    Rows are first counted per file, so a large partition is reduced map-side.
+    Only footers are read, each file by one task among many.
     """
-    per_file = df.groupBy(*parts, df.metadataColumn("_metadata")["file_name"].alias("__file")).agg(
-        F.count(F.lit(1)).alias("__rows")
-    )
-    stem = F.substring_index("__file", ".", 1)
-    return per_file.groupBy(*parts).agg(
+    stem = F.substring_index("file", ".", 1)
+    return read_footers(spark, root).groupBy(*[F.col("partition")[p].alias(p) for p in parts]).agg(
         F.count(F.lit(1)).alias("file_count"),
         F.count_if(stem.endswith(hourly)).alias("hourly_files"),
         (F.count_if(stem == daily) > 0).alias("has_daily"),
-        F.sum("__rows").alias("row_count"),
+        F.sum("rows").alias("row_count"),
+        F.sum("bytes").alias("byte_count"),
     )
 
 
