@@ -24,9 +24,9 @@ from tidegrid.llm.common import chunks, map_batches
 from tidegrid.llm.pieces import Pieces, Ragged
 
 #: Bytes of text whose new pieces are merged together.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 #: Distinct pieces that a worker remembers, also from task to task; beyond that it starts again.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 NONE = np.int32(-1)
 
 
@@ -51,7 +51,6 @@ class Merges:
             for k in range(1, len(t))
             if t[:k] in ranks and t[k:] in ranks
         }
-        self.ranks = pairs
         self.pair = np.array(sorted(pairs), np.int64)
         self.rank = np.array([pairs[p] for p in self.pair.tolist()], np.int32)
 
@@ -138,25 +137,31 @@ def replay_long(piece: bytes, merges: Merges) -> list[int]:
     token = merges.of_byte[np.frombuffer(piece, np.uint8)].tolist()
     n = len(token)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    ranks = merges.ranks
-    size = merges.size
-    heap = [(r, k) for k in range(n - 1) if (r := ranks.get(token[k] * size + token[k + 1])) is not None]
+    known: dict[tuple[int, int], int] = {}
+
+    def rank(left: int, right: int) -> int:
+        """Rank of a pair, or -1; a piece has few different pairs."""
+        if (left, right) not in known:
+            known[left, right] = int(merges.look_up(np.array([left]), np.array([right]))[0])
+        return known[left, right]
+
+    heap = [(r, k) for k in range(n - 1) if (r := rank(token[k], token[k + 1])) >= 0]
     heapq.heapify(heap)
     while heap:
         r, k = heapq.heappop(heap)
         nxt = after[k]
         # A pair that was changed or merged away since it was entered is stale.
-        if token[k] < 0 or nxt >= n or ranks.get(token[k] * size + token[nxt]) != r:
+        if token[k] < 0 or nxt >= n or rank(token[k], token[nxt]) != r:
             continue
         token[k], token[nxt] = r, -1
         beyond = after[nxt]
         after[k] = beyond
         if beyond < n:
             before[beyond] = k
-            if (right := ranks.get(r * size + token[beyond])) is not None:
+            if (right := rank(r, token[beyond])) >= 0:
                 heapq.heappush(heap, (right, k))
         left = before[k]
-        if left >= 0 and (own := ranks.get(token[left] * size + r)) is not None:
+        if left >= 0 and (own := rank(token[left], r)) >= 0:
             heapq.heappush(heap, (own, left))
     return [t for t in token if t >= 0]
 
