@@ -116,8 +116,11 @@ def fit_by_step(
 
     def fit(step: int) -> tuple[int, Fitted]:
         label = F.col(f"label_{step}")
-        view = table.where(label.isNotNull()).select("features", label.alias("label"), split_of(step).alias("split"))
-        return step, fit_model(view.persist(), names, params, kind)
+        view = table.where(label.isNotNull()).select("features", label.alias("label"), split_of(step).alias("split")).persist()
+        try:
+            return step, fit_model(view, names, params, kind)
+        finally:
+            view.unpersist()
 
     # Threads only submit Spark jobs; the work runs on the executors.
     with ThreadPool(parallelism) as pool:
@@ -139,8 +142,11 @@ def fit_horizon(
     each = F.array(*[F.struct(F.lit(h).alias("step"), F.col(f"label_{h}").alias("label"), split_of(h).alias("split")) for h in steps])
     rows = table.select("features", F.explode(each).alias("one")).where("one.label IS NOT NULL")
     rows = rows.select(F.col("features").alias("base"), "one.*")
-    view = VectorAssembler(inputCols=["base", "step"], outputCol="features").transform(rows).select("features", "label", "split")
-    return fit_model(view.persist(), [*names, "step"], params, kind)
+    view = VectorAssembler(inputCols=["base", "step"], outputCol="features").transform(rows).select("features", "label", "split").persist()
+    try:
+        return fit_model(view, [*names, "step"], params, kind)
+    finally:
+        view.unpersist()
 
 
 def forecast_horizon(
