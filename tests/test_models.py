@@ -194,3 +194,28 @@ def test_resampled_band_covers_and_does_not_depend_on_partitions(spark):
     assert 0.85 <= np.mean([r["lower"] <= r["label"] <= r["upper"] for r in band]) <= 1.0
     width = {r["datetime"].hour: r["upper"] - r["lower"] for r in band}
     assert len({(r["datetime"].hour, r["upper"]) for r in band}) == 24 and width[23] > 5 * width[0]
+
+
+def test_fits_of_few_rows_are_one_task(fitted, monkeypatch):
+    """Folds and trials are cut by their rows, not by the width of the shuffle that made them."""
+    view, names, _ = fitted
+    seen = []
+
+    class Counted:
+        def __init__(self, own):
+            self.own = own
+
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return self.own.fit(rows)
+
+    real = tuning.model
+    monkeypatch.setattr(tuning, "model", lambda kind: lambda *given: Counted(real(kind)(*given)))
+    spread = view.repartition(8)
+    tuning.cross_validate(spread, names, None, 3, kind="linear")
+    tuning.grid_search(spread, names, {"maxIter": [5, 9]}, kind="linear")
+    assert len(seen) == 5 and {parts for parts, _ in seen} == {1}
+    seen.clear()
+    monkeypatch.setattr(tuning, "TASK_ROWS", 50)
+    tuning.cross_validate(spread, names, None, 3, kind="linear")
+    assert sorted(parts for parts, _ in seen) == sorted(-(-n // 50) for _, n in seen) and max(seen)[0] > 1
