@@ -128,3 +128,50 @@ def test_panes_merge_all_values_of_a_window(spark):
     assert set(got) == set(want)
     for key, xs in want.items():
         assert got[key]["rolling_mean"] == pytest.approx(np.mean(xs)) and got[key]["rolling_std"] == pytest.approx(np.std(xs, ddof=1))
+
+
+def test_a_correction_in_the_same_micro_batch_stays(spark):
+    """Each hour arrives twice within one micro-batch, the later copy first in the file."""
+    steps = [[(h, 100.0 + h, h + 5) for h in range(a, a + 30)] + [(h, float(h), h) for h in range(a, a + 30)] for a in (0, 30)]
+    frames = [
+        spark.createDataFrame([("a", T0 + timedelta(hours=h), v, T0 + timedelta(hours=t)) for h, v, t in s], "k string, datetime timestamp_ntz, x double, came timestamp_ntz")
+        for s in steps
+    ]
+    out = scratch_path(spark, "out")
+    made = stateful.stream_features(arrive(spark, frames), "x", ["k"], lags=(1,), windows=(), order="came")
+    st.stream_upsert(made, out, scratch_path(spark, "checkpoint"), ["k"]).awaitTermination()
+    got = [(r["x"], r["x_lag_1"]) for r in spark.read.parquet(out).orderBy("datetime").collect()]
+    assert got == [(100.0 + h, 99.0 + h if h else None) for h in range(60)]
+
+
+def test_a_long_calendar_takes_no_more_micro_batches(spark):
+    from tidegrid.plans.queries_streams import MOST_RUNS, as_stream
+
+    rows = [("a", T0 + timedelta(days=d), float(d)) for d in range(0, 1000, 2)]
+    seen = []
+
+    def merge(batch, out, keys, ts, order):
+        days = [r["datetime"] for r in batch.select("datetime").collect()]
+        seen.append((min(days), max(days), len(days)))
+
+    arrivals = as_stream(spark, spark.createDataFrame(rows, "k string, datetime timestamp_ntz, x double"))
+    st.stream_upsert(arrivals, "", scratch_path(spark, "checkpoint"), ["k"], merge=merge).awaitTermination()
+    assert sum(n for _, _, n in seen) == 500 and len(seen) <= MOST_RUNS
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+
+
+def test_a_merge_does_not_run_the_stream_again(spark, tmp_path):
+    """Every evaluation of the micro-batch adds a line to a file."""
+    from pyspark.sql import functions as F
+
+    log = str(tmp_path / "runs")
+
+    def noted(x):
+        with open(log, "a") as f:
+            f.write("x\n")
+        return x
+
+    flat = arrive(spark, [hours(spark, [(h, float(h)) for h in range(5)])])
+    marked = flat.withColumn("x", F.udf(noted, "double")("x"))
+    st.stream_upsert(marked, scratch_path(spark, "out"), scratch_path(spark, "checkpoint"), ["k"]).awaitTermination()
+    assert len(open(log).readlines()) == 5

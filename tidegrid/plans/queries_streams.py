@@ -24,19 +24,24 @@ RETENTION = "40 days"
 LAGS, WINDOWS = (1, 2, 3, 24, 168), (3, 6, 12, 24)
 
 
+#: Micro-batches of a table. Each costs the same few jobs, so those of a long calendar hold more days.
+MOST_RUNS = 24
+
+
 def as_stream(spark: SparkSession, rows: DataFrame, ts: str = "datetime", days: int = 5) -> DataFrame:
     """Rows as a stream, in order of time: runs of ``days`` days, each in as many files as there are tasks.
 
     A micro-batch takes the files of one run. Files are read oldest first, and a run is written when the one before it is
-    complete, so no batch mixes early and late runs.
+    complete, so no batch mixes early and late runs. Of more than MOST_RUNS runs, neighbours are joined.
     """
     root, flat = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
     run = F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / days).alias("run")
     width = spark.sparkContext.defaultParallelism
     rows.select("*", run).repartition(width, "run", F.xxhash64(*rows.columns)).write.partitionBy("run").parquet(root)
-    runs = sorted(r["run"] for r in spark.read.parquet(root).select("run").distinct().collect())  # the calendar bounds them
-    for each in runs:
-        part = spark.read.schema(rows.schema).parquet(f"{root}/run={each}")
+    runs = sorted(int(r["run"]) for r in spark.read.parquet(root).select("run").distinct().collect())  # the calendar bounds them
+    joined = -(-len(runs) // MOST_RUNS)
+    for k in range(0, len(runs), joined or 1):
+        part = spark.read.schema(rows.schema).parquet(*(f"{root}/run={each}" for each in runs[k : k + joined]))
         part.repartition(width).write.mode("append").parquet(flat)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", width).parquet(flat)
 
@@ -186,7 +191,7 @@ SELECT a.event_type, {t('a.datetime', 'datetime')}, {r('a.total', 'total')}, {',
 def stream_revisions(spark, d):
     """Each hour arrives; those of even days arrive again five days later, corrected. The merged table equals the batch answer."""
     out = scratch_path(spark, "features")
-    made = stateful.stream_features(_corrected(spark, d), "total", KEY, lags=LAGS, windows=WINDOWS, revise=11 * 24)
+    made = stateful.stream_features(_corrected(spark, d), "total", KEY, lags=LAGS, windows=WINDOWS, revise=11 * 24, order="arrives")
     st.stream_upsert(made, out, scratch_path(spark, "checkpoint"), KEY).awaitTermination()
     return layers.read_layer(spark, out).select(*made.columns)
 
@@ -197,7 +202,7 @@ def _corrected(spark: SparkSession, d: str) -> DataFrame:
     first = rows.withColumn("arrives", F.col("datetime"))
     again = rows.where(F.day("datetime") % 2 == 0).withColumn("total", F.col("total") + 1000.0)
     again = again.withColumn("arrives", F.col("datetime") + F.expr("INTERVAL 5 DAYS"))
-    return as_stream(spark, first.unionByName(again), "arrives").drop("arrives")
+    return as_stream(spark, first.unionByName(again), "arrives")
 
 
 _SHORT = FeatureConfig(lags=(1, 24), windows=(3,), by="time")
@@ -216,7 +221,7 @@ def stream_forecast(spark, d):
     """A forecast as each hour arrives, revised when it is corrected: the model weighs the hour, the day before and the last three hours."""
     out = scratch_path(spark, "forecasts")
     weights = Scorer(tuple(_USED), np.zeros(3), np.ones(3), Linear(np.array([0.5, 0.3, 0.2]), 0.0))
-    made = stateful.stream_forecast(_corrected(spark, d), weights, ["total"], KEY, config=_SHORT, revise=11 * 24)
+    made = stateful.stream_forecast(_corrected(spark, d), weights, ["total"], KEY, config=_SHORT, revise=11 * 24, order="arrives")
     st.stream_upsert(made, out, scratch_path(spark, "checkpoint"), KEY, "based_on_data_until").awaitTermination()
     rows = layers.read_layer(spark, out)
     return rows.select(*KEY, "based_on_data_until", "prediction_for", F.round("predicted_value", 3).alias("predicted_value"), "feature_count")

@@ -18,6 +18,8 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 HOUR = 3600
 #: No hour is as early as this.
 NEVER = -(2**62)
+#: What ranks the rows of one hour in a micro-batch. Spark renames columns that begin with an underscore here.
+ORDER = "tidegrid_order"
 
 
 def calendar(hours: np.ndarray, circle: np.ndarray) -> np.ndarray:
@@ -78,9 +80,9 @@ class RecentHours(StatefulProcessor):
     whole look-back is no longer kept give nothing: what cannot be computed exactly is left to the batch job.
     """
 
-    def __init__(self, keys, ts, cols, lags, windows, revise, scorer: Scorer | None = None, circle: np.ndarray | None = None):
+    def __init__(self, keys, ts, cols, lags, windows, revise, scorer: Scorer | None = None, circle: np.ndarray | None = None, order: str | None = None):
         self.keys, self.ts, self.cols, self.lags, self.windows = keys, ts, cols, lags, windows
-        self.revise, self.scorer, self.circle = revise, scorer, circle
+        self.revise, self.scorer, self.circle, self.order = revise, scorer, circle, order
         self.lookback = max([*lags, *(w - 1 for w in windows), 0])
         self.offsets = sorted({0, *lags, *range(max(windows, default=1))})
 
@@ -91,9 +93,16 @@ class RecentHours(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         floor = self.floor.get()[0] if self.floor.exists() else NEVER
         arrived: dict[int, list[float]] = {}
+        placed: dict[int, float] = {}
         for chunk in rows:
-            numbers = chunk[self.ts].to_numpy("datetime64[s]").astype("int64") // HOUR
-            arrived.update(zip(numbers.tolist(), chunk[self.cols].to_numpy("float64", na_value=np.nan).tolist()))
+            numbers = (chunk[self.ts].to_numpy("datetime64[s]").astype("int64") // HOUR).tolist()
+            values = chunk[self.cols].to_numpy("float64", na_value=np.nan).tolist()
+            if self.order is None:
+                arrived.update(zip(numbers, values))
+                continue
+            for h, place, v in zip(numbers, chunk[ORDER].fillna(NEVER).tolist(), values):
+                if h not in placed or place >= placed[h]:
+                    arrived[h], placed[h] = v, place
         arrived = {h: v for h, v in arrived.items() if h >= floor}
         if not arrived:
             return
@@ -146,7 +155,12 @@ def feature_names(cols: Sequence[str], lags: Sequence[int], windows: Sequence[in
 
 def _stateful(df: DataFrame, cols, keys, ts, schema: T.StructType, processor: RecentHours, mode: str) -> DataFrame:
     use_rocksdb(df.sparkSession)
-    rows = df.select(*keys, F.col(ts).cast("timestamp_ntz").alias(ts), *[F.col(c).cast("double").alias(c) for c in cols])
+    rows = df.select(
+        *keys,
+        F.col(ts).cast("timestamp_ntz").alias(ts),
+        *[F.col(c).cast("double").alias(c) for c in cols],
+        *([F.unix_micros(F.col(processor.order).cast("timestamp")).alias(ORDER)] if processor.order else []),
+    )
     schema = T.StructType([*[df.schema[k] for k in keys], *schema.fields])
     return rows.groupBy(*keys).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode=mode, timeMode="none")
 
@@ -159,6 +173,7 @@ def stream_features(
     lags: Sequence[int] = LAGS,
     windows: Sequence[int] = WINDOWS,
     revise: int = 0,
+    order: str | None = None,
 ) -> DataFrame:
     """Features of each arriving hour, and again of later hours that it changes.
 
@@ -167,13 +182,14 @@ def stream_features(
     itself and for all known later hours within its reach; a sink that merges by series and hour (``stream_upsert``) then
     equals the batch answer. Older hours are exact as long as their look-back is kept, and otherwise give nothing. Hours that
     come in order, one micro-batch after the other, are never revised, so an append-only sink may take them. Keys are
-    required: they are what spreads the state.
+    required: they are what spreads the state. ``order`` is the time at which a row arrives: of rows of one series and hour in
+    one micro-batch the latest stays.
     """
     cols = [col] if isinstance(col, str) else list(col)
     schema = T.StructType([T.StructField(ts, T.TimestampNTZType())])
     for name in feature_names(cols, lags, windows):
         schema = schema.add(name, T.DoubleType())
-    processor = RecentHours(list(keys), ts, cols, list(lags), list(windows), revise)
+    processor = RecentHours(list(keys), ts, cols, list(lags), list(windows), revise, order=order)
     return _stateful(df, cols, keys, ts, schema, processor, "append")
 
 
@@ -185,12 +201,14 @@ def stream_forecast(
     ts: str = "datetime",
     config: FeatureConfig = FeatureConfig(),
     revise: int = 0,
+    order: str | None = None,
 ) -> DataFrame:
     """A forecast of the next hour for each arriving hour whose look-back is whole, and again for later hours that it changes.
 
     ``cols`` are the numeric columns that the model's features were built from; calendar columns follow from the hour. The
     columns are those of ``forecast_next``: ``prediction_for``, ``predicted_value``, ``based_on_data_until``,
-    ``feature_count`` and ``historical_hours_used``. Lags and windows are by time. State and revisions as in ``stream_features``.
+    ``feature_count`` and ``historical_hours_used``. Lags and windows are by time. State, revisions and ``order`` as in
+    ``stream_features``.
     """
     if config.shift or config.with_interactions:
         raise ValueError("the stream builds neither shifted windows nor interactions")
@@ -201,5 +219,5 @@ def stream_forecast(
     for name, kind in (("prediction_for", T.TimestampNTZType()), ("predicted_value", T.DoubleType()), ("based_on_data_until", T.TimestampNTZType())):
         schema = schema.add(name, kind)
     schema = schema.add("feature_count", T.IntegerType()).add("historical_hours_used", T.IntegerType())
-    processor = RecentHours(list(keys), ts, list(cols), list(config.lags), list(config.windows), revise, model, hour_circle(df.sparkSession))
+    processor = RecentHours(list(keys), ts, list(cols), list(config.lags), list(config.windows), revise, model, hour_circle(df.sparkSession), order)
     return _stateful(df, cols, keys, ts, schema, processor, "append")

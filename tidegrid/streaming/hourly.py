@@ -176,11 +176,18 @@ def stream_upsert(
     order: Sequence[str] = (),
     merge: Callable[..., None] = upsert,
 ) -> StreamingQuery:
-    """Late and corrected hours replace what is stored. ``order`` ranks rows of one micro-batch, first wins."""
+    """Late and corrected hours replace what is stored. ``order`` ranks rows of one micro-batch, first wins.
+
+    A merge reads its micro-batch several times; it is kept meanwhile, or each time would run the stream's operators again.
+    """
 
     def apply(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            merge(batch, out, keys, ts, order)
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                merge(batch, out, keys, ts, order)
+        finally:
+            batch.unpersist()
 
     return (
         df.writeStream.foreachBatch(apply)
