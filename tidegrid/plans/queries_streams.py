@@ -24,23 +24,24 @@ RETENTION = "40 days"
 LAGS, WINDOWS = (1, 2, 3, 24, 168), (3, 6, 12, 24)
 
 
-#: Micro-batches of a table. Each costs the same few jobs, so those of a long calendar hold more days.
-MOST_RUNS = 24
+#: Micro-batches of an hourly table. Each costs the same few jobs, so those of a long calendar hold more days.
+MOST_RUNS = 12
 
 
-def as_stream(spark: SparkSession, rows: DataFrame, ts: str = "datetime", days: int = 5) -> DataFrame:
+def as_stream(spark: SparkSession, rows: DataFrame, ts: str = "datetime", days: int = 5, most: int | None = MOST_RUNS) -> DataFrame:
     """Rows as a stream, in order of time: runs of ``days`` days, each in as many files as there are tasks.
 
     A micro-batch takes the files of one run. Files are read oldest first, and a run is written when the one before it is
-    complete, so no batch mixes early and late runs. Of more than MOST_RUNS runs, neighbours are joined.
+    complete, so no batch mixes early and late runs. Of more than ``most`` runs, neighbours are joined; state that
+    grows with a micro-batch, as that of single events, is kept small without ``most``.
     """
     root, flat = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
     run = F.floor(F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")) / days).alias("run")
     width = spark.sparkContext.defaultParallelism
     rows.select("*", run).repartition(width, "run", F.xxhash64(*rows.columns)).write.partitionBy("run").parquet(root)
     runs = sorted(int(r["run"]) for r in spark.read.parquet(root).select("run").distinct().collect())  # the calendar bounds them
-    joined = -(-len(runs) // MOST_RUNS)
-    for k in range(0, len(runs), joined or 1):
+    joined = -(-len(runs) // most) if most and runs else 1
+    for k in range(0, len(runs), joined):
         part = spark.read.schema(rows.schema).parquet(*(f"{root}/run={each}" for each in runs[k : k + joined]))
         part.repartition(width).write.mode("append").parquet(flat)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", width).parquet(flat)
@@ -70,7 +71,7 @@ def stream_silver(spark, d):
 def stream_dedup(spark, d):
     """Every event arrives twice in the same micro-batch; one copy stays."""
     rows = tables.events(spark, d).select("event_id", "ts")
-    twice = as_stream(spark, rows.unionByName(rows), "ts")
+    twice = as_stream(spark, rows.unionByName(rows), "ts", most=None)
     kept = finished(spark, st.naive_time(st.stream_dedup(twice, ["event_id"], "ts"), "ts"))
     return kept.agg(F.countDistinct("event_id").alias("events"), F.count(F.lit(1)).alias("rows"))
 
@@ -94,7 +95,7 @@ def stream_join(spark, d):
 WHERE datetime + INTERVAL 1 HOUR <= last - INTERVAL 2 HOUR""",
 )
 def stream_hourly(spark, d):
-    rows = as_stream(spark, tables.events(spark, d).select("event_type", F.col("ts").alias("datetime"), "value"))
+    rows = as_stream(spark, tables.events(spark, d).select("event_type", F.col("ts").alias("datetime"), "value"), most=None)
     aggs = [F.sum("value").alias("total"), F.count(F.lit(1)).alias("n")]
     return finished(spark, st.stream_hourly(rows, KEY, "datetime", aggs))
 
