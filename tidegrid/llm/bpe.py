@@ -12,7 +12,6 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -75,13 +74,16 @@ def replay_block(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.nd
     after = np.where(edge[1:], np.int32(n), place + 1).astype(np.int32)
     before = np.where(edge[:-1], np.int32(n), place - 1).astype(np.int32)
     after, before = np.append(after, np.int32(n)), np.append(before, np.int32(n))
+    entered = np.full(n + 1, NONE)  # rank of the pair that begins at each place now
     index: dict[int, list[np.ndarray]] = {}
     heap: list[int] = []
 
     def note(at: np.ndarray) -> None:
         """Enter the pairs that begin at these places into the index."""
+        entered[at] = NONE
         at = at[after[at] < n]
         rank = merges.look_up(token[at], token[after[at]])
+        entered[at] = rank
         known = rank >= 0
         at, rank = at[known], rank[known]
         if not len(at):
@@ -98,13 +100,13 @@ def replay_block(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.nd
     note(place)
     while heap:
         r = heapq.heappop(heap)
-        at = np.unique(np.concatenate(index.pop(r)))
-        nxt = after[at]
+        noted = index.pop(r)
+        at = np.sort(np.concatenate(noted)) if len(noted) > 1 else np.sort(noted[0])
         # Places merged away or changed since they were entered no longer hold this pair.
-        live = (token[at] >= 0) & (nxt < n)
-        at, nxt = at[live], nxt[live]
-        same = merges.look_up(token[at], token[nxt]) == r
-        at, nxt = at[same], nxt[same]
+        live = entered[at] == r
+        live[1:] &= at[1:] != at[:-1]
+        at = at[live]
+        nxt = after[at]
         if not len(at):
             continue
         first = np.ones(len(at), bool)
@@ -113,6 +115,7 @@ def replay_block(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.nd
         at, nxt = at[first], nxt[first]
         token[at] = r
         token[nxt] = NONE
+        entered[nxt] = NONE
         beyond = after[nxt]
         after[at] = beyond
         inner = beyond < n
@@ -204,7 +207,7 @@ class Coder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.cuts) > REMEMBERED:
             self.clear()
-        rows = [self.cuts.numbers(t or "") for t in texts]
+        cuts, n_cuts = self.cuts.of_block(texts)
         find, words = _compiled(self.pattern).findall, self.words
         found = [find(p) for p in self.cuts.texts[len(self.words_of.length) :]]
         known = len(words)
@@ -212,8 +215,6 @@ class Coder:
         self.words_of.extend(flat, np.fromiter(map(len, found), np.int64, len(found)))
         fresh = [w.encode("utf-8", "surrogatepass") for w in list(words)[known:]]
         self.ids.extend(*replay(fresh, self.merges))
-        n_cuts = np.fromiter(map(len, rows), np.int64, len(rows))
-        cuts = np.fromiter(chain.from_iterable(rows), np.int64, int(n_cuts.sum()))
         word, n_words = self.words_of.take(cuts)
         ids, n_ids = self.ids.take(word)
         per_cut = np.concatenate([[0], np.cumsum(n_words)])[np.concatenate([[0], np.cumsum(n_cuts)])]

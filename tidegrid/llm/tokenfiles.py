@@ -13,7 +13,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,16 +63,18 @@ class Encoder:
         Pieces of a space and a word, with no white space at their end, are given to the library as one text: it begins a
         new word at each such space. Ids stand for known numbers of bytes, which tell where each piece ends.
         """
-        plain = [k for k, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
-        odd = sorted(set(range(len(pieces))) - set(plain))
-        words = [pieces[k] for k in plain]
+        chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        bare = np.fromiter(map(len, map(str.strip, pieces)), np.int64, len(pieces))
+        spaced = np.fromiter(map(str.startswith, pieces, repeat(" ")), bool, len(pieces)) & (chars > 1) & (bare == chars - 1)
+        plain, odd = np.flatnonzero(spaced), np.flatnonzero(~spaced)
+        words = list(compress(pieces, spaced.tolist()))
         ids = np.fromiter(chain.from_iterable(self.library(["".join(words[k : k + JOINED]) for k in range(0, len(words), JOINED)])), np.int64)
-        stops = np.cumsum(np.fromiter((len(w.encode("utf-8", "surrogatepass")) for w in words), np.int64, len(words)))
+        stops = np.cumsum(np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)))
         ends = np.cumsum(self.bytes_of[ids])
         upto = np.searchsorted(ends, stops)
         if len(words) and (len(ids) != upto[-1] + 1 or (ends[upto] != stops).any()):
             raise ValueError("the tokenizer does not begin a new word at a space")
-        alone = self.library([pieces[k] for k in odd])
+        alone = self.library([pieces[k] for k in odd.tolist()])
         n = np.zeros(len(pieces), np.int64)
         n[plain] = np.diff(upto + 1, prepend=0)
         n[odd] = np.fromiter(map(len, alone), np.int64, len(alone))
@@ -85,12 +87,11 @@ class Encoder:
         """Ids of the texts behind each other, ``end`` after each, and the number of ids of each with it."""
         if len(self.pieces) > REMEMBERED:
             self.clear()
-        rows = [self.pieces.numbers(t or "") for t in texts]
+        numbers, n_pieces = self.pieces.of_block(texts)
         fresh = self.pieces.texts[len(self.ids.length) :]
         if fresh:
             self.ids.extend(*self.ask(fresh))
-        n_pieces = np.fromiter(map(len, rows), np.int64, len(rows))
-        ids, n = self.ids.take(np.fromiter(chain.from_iterable(rows), np.int64, int(n_pieces.sum())))
+        ids, n = self.ids.take(numbers)
         ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(n_pieces)]
         return np.insert(ids, ends, end), np.diff(ends, prepend=0) + 1
 
